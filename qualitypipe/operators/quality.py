@@ -9,6 +9,7 @@ the data.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
@@ -20,19 +21,7 @@ from pyspark.sql import functions as F
 
 from qualitypipe import fixed_values as fixed
 from qualitypipe.config import from_config
-from qualitypipe.functions.columns import col_named, is_text
-
-REPORT_COLUMNS = {
-    "rule_no": "int",
-    "rule": "string",
-    "rule_type": "string",
-    "column_name": "string",
-    "status": "string",
-    "failed": "bigint",
-    "total": "bigint",
-    "ratio": "double",
-    "details": "string",
-}
+from qualitypipe.functions.columns import col_named, is_text, text_to_double
 
 # Row checks that share one outcome mask. 2^10 bounds the distinct masks a task can send to the shuffle.
 _CHECKS_PER_MASK = 10
@@ -119,7 +108,7 @@ class ValueRange:
         value = col_named(self.column)
         numeric = all(isinstance(b, (int, float, type(None))) for b in (self.min, self.max))
         if numeric and is_text(df.schema[self.column].dataType):
-            value = value.try_cast("double")
+            value = text_to_double(value)
         outside = []
         if self.min is not None:
             outside.append(value < F.lit(self.min))
@@ -207,48 +196,44 @@ def measure(
     few masks, leave a task as a single record.
     """
     conditions, unique = dict(conditions or {}), dict(unique or {})
+    outcomes = df.select(
+        *(col_named(column).alias(f"_key{i}") for i, column in enumerate(unique.values())),
+        *(condition.alias(f"_fact{i}") for i, condition in enumerate(conditions.values())),
+    )
     if not unique:
-        counts = (F.count_if(condition).alias(name) for name, condition in conditions.items())
-        return df.agg(F.count(F.lit(1)).alias("total"), *counts)
+        counts = (f"count_if(_fact{i}) AS `{name}`" for i, name in enumerate(conditions))
+        return outcomes.selectExpr("count(1) AS total", *counts)
 
-    keys = {f"_key{i}": column for i, column in enumerate(unique.values())}
-    bits: dict[str, tuple[str, int]] = {}
-    masks: dict[str, Column] = {}
-    for i, (name, condition) in enumerate(conditions.items()):
+    keys = [f"_key{i}" for i in range(len(unique))]
+    flags: dict[str, list[str]] = {}
+    bits = []
+    for i in range(len(conditions)):
         mask, bit = f"_mask{i // _CHECKS_PER_MASK}", 1 << (i % _CHECKS_PER_MASK)
-        flag = F.when(condition, F.lit(bit)).otherwise(F.lit(0))
-        masks[mask] = masks[mask] + flag if mask in masks else flag
-        bits[name] = mask, bit
-
-    grouped_by = [*keys, *masks]
-    counted = (
-        df.select(
-            *(col_named(column).alias(key) for key, column in keys.items()),
-            *(outcome.alias(mask) for mask, outcome in masks.items()),
-        )
-        .groupingSets([[name] for name in grouped_by], *grouped_by)
-        .agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_rows"))
+        flags.setdefault(mask, []).append(f"if(_fact{i}, {bit}, 0)")
+        bits.append((mask, bit))
+    masked = outcomes.selectExpr(*keys, *(f"{' + '.join(f)} AS {mask}" for mask, f in flags.items()))
+
+    grouped_by = [*keys, *flags]
+    counted = masked.groupingSets([[name] for name in grouped_by], *grouped_by).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_rows")
     )
     # grouping_id() has a bit for every column, leftmost first, that is cleared in the column's own set.
-    all_bits = (1 << len(grouped_by)) - 1
+    width = len(grouped_by)
     in_set = {
-        name: F.col("_set") == F.lit(all_bits - (1 << (len(grouped_by) - 1 - position)))
+        name: f"_set = {(1 << width) - 1 - (1 << (width - 1 - position))}"
         for position, name in enumerate(grouped_by)
     }
 
-    def summed(value: Column, where: Column) -> Column:
-        return F.coalesce(F.sum(F.when(where, value)), F.lit(0).cast("bigint"))
+    def summed(value: str, where: str, name: str) -> str:
+        return f"coalesce(sum(CASE WHEN {where} THEN {value} END), 0L) AS `{name}`"
 
-    return counted.agg(
-        summed(F.col("_rows"), in_set[grouped_by[-1]]).alias("total"),
-        *(
-            summed(F.col("_rows"), in_set[mask] & (F.col(mask).bitwiseAND(F.lit(bit)) != 0)).alias(name)
-            for name, (mask, bit) in bits.items()
-        ),
+    return counted.selectExpr(
+        summed("_rows", in_set[grouped_by[-1]], "total"),
         *(
-            summed(F.col("_rows") - 1, in_set[key]).alias(name)
-            for name, key in zip(unique, keys, strict=True)
+            summed("_rows", f"{in_set[mask]} AND ({mask} & {bit}) != 0", name)
+            for name, (mask, bit) in zip(conditions, bits, strict=True)
         ),
+        *(summed("_rows - 1", in_set[key], name) for name, key in zip(unique, keys, strict=True)),
     )
 
 
@@ -258,14 +243,50 @@ def measure(
 
 @dataclass(frozen=True)
 class _Entry:
+    """A check with its place in the rules: all of a report line but the numbers."""
+
     rule_no: int
     rule: str | None
     rule_type: str | None
     check: Check
 
+    def as_json(self) -> dict[str, Any]:
+        check = self.check
+        wording = None
+        if check.details is not None:
+            wording = _wording(check.details, column=check.column, **check.parts)
+        return {
+            "rule_no": self.rule_no,
+            "rule": self.rule,
+            "rule_type": self.rule_type,
+            "column_name": check.column,
+            "settled": check.status,
+            "allowed_share": check.allowed_share,
+            "wording": wording,
+        }
+
+
+_ENTRY_TYPE = (
+    "array<struct<rule_no: int, rule: string, rule_type: string, column_name: string, settled: string, "
+    "allowed_share: double, wording: array<string>>>"
+)
+
+
+def _wording(template: str, **parts: Any) -> list[str]:
+    """The template filled in but for ``failed`` and ``share``: the text before, between and after."""
+    texts = [""]
+    for text, part, _, _ in Formatter().parse(template):
+        texts[-1] += text
+        if part in ("failed", "share"):
+            texts.append("")
+        elif part is not None:
+            texts[-1] += str(parts[part])
+    return texts
+
 
 def build_report(df: DataFrame, rules: Iterable[Mapping[str, Any] | Rule]) -> DataFrame:
-    """Lazy report with the columns of ``REPORT_COLUMNS``, one row per rule and column."""
+    """Lazy report, one row per rule and column: ``rule_no, rule, rule_type, column_name, status,
+    failed, total, ratio, details``."""
     settled: list[_Entry] = []
     by_row: list[_Entry] = []
     by_key: dict[str, list[_Entry]] = {}
@@ -280,88 +301,63 @@ def build_report(df: DataFrame, rules: Iterable[Mapping[str, Any] | Rule]) -> Da
             else:
                 by_row.append(entry)
 
+    reports = []
+    if settled:
+        nothing = df.sparkSession.range(1).selectExpr("cast(NULL AS bigint) AS total")
+        reports.append(_lines(nothing, [("NULL", entry) for entry in settled]))
     keys = list(by_key)
     passes = [keys[i : i + _KEYS_PER_PASS] for i in range(0, len(keys), _KEYS_PER_PASS)]
-    if by_row and not passes:
-        passes = [[]]
-    reports = []
-    for number, pass_keys in enumerate(passes):
+    for number, pass_keys in enumerate(passes or [[]] if by_row or passes else []):
         row_entries = by_row if number == 0 else []
         conditions = {f"row{i}": entry.check.failing for i, entry in enumerate(row_entries)}
         unique = {f"key{i}": column for i, column in enumerate(pass_keys)}
-        lines = [_measured_line(entry, F.col(name)) for name, entry in zip(conditions, row_entries)]
-        for name, column in unique.items():
-            lines += [_measured_line(entry, F.col(name)) for entry in by_key[column]]
-        reports.append(_lines_of(measure(df, conditions, unique), lines))
-    if settled or not reports:
-        one_row = df.sparkSession.range(1)
-        reports.append(_lines_of(one_row, [_settled_line(entry) for entry in settled]))
+        entries = list(zip(conditions, row_entries, strict=True))
+        entries += [(name, entry) for name, column in unique.items() for entry in by_key[column]]
+        reports.append(_lines(measure(df, conditions, unique), entries))
+    if not reports:
+        return _lines(df.sparkSession.range(0).selectExpr("cast(NULL AS bigint) AS total"), [])
     return reduce(DataFrame.unionByName, reports)
 
 
-def _lines_of(one_row: DataFrame, lines: list[Column]) -> DataFrame:
-    return one_row.select(F.inline(F.array(*lines)))
-
-
-def _line(entry: _Entry, **measured: Column) -> Column:
-    known = {
-        "rule_no": F.lit(entry.rule_no),
-        "rule": F.lit(entry.rule),
-        "rule_type": F.lit(entry.rule_type),
-        "column_name": F.lit(entry.check.column),
-        **measured,
-    }
-    cells = (known.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in REPORT_COLUMNS.items())
-    return F.struct(*cells)
-
-
-def _settled_line(entry: _Entry) -> Column:
-    check = entry.check
-    if check.details is None:
-        return _line(entry, status=F.lit(check.status))
-    details = _message(check.details, column=check.column, **check.parts)
-    return _line(entry, status=F.lit(check.status), details=details)
-
-
-def _measured_line(entry: _Entry, failed: Column) -> Column:
-    check, total = entry.check, F.col("total")
-    ratio = F.when(total > 0, failed.cast("double") / total).otherwise(F.lit(0.0))
-    fails = (failed > 0) & (ratio > F.lit(check.allowed_share))
-    share = F.format_string("%.2f%%", ratio * 100)
-    details = _message(check.details, column=check.column, failed=failed, share=share, **check.parts)
-    return _line(
-        entry,
-        status=F.when(fails, F.lit("fail")).otherwise(F.lit("pass")),
-        failed=failed,
-        total=total,
-        ratio=ratio,
-        details=F.when(fails, details),
+def _lines(measured: DataFrame, entries: list[tuple[str, _Entry]]) -> DataFrame:
+    """One line per entry from the one row of numbers; an entry comes with the name of its number."""
+    numbers = ", ".join(f"cast({name} AS bigint)" for name, _ in entries)
+    known = F.from_json(F.lit(json.dumps([entry.as_json() for _, entry in entries])), _ENTRY_TYPE)
+    return (
+        measured.selectExpr("total", f"posexplode(array({numbers})) AS (position, failed)")
+        .select("total", "failed", F.get(known, F.col("position")).alias("entry"))
+        .selectExpr("*", "if(total > 0, failed / total, if(total = 0, 0D, NULL)) AS ratio")
+        .selectExpr("*", "failed > 0 AND ratio > entry.allowed_share AS fails")
+        .selectExpr(
+            "entry.rule_no",
+            "entry.rule",
+            "entry.rule_type",
+            "entry.column_name",
+            "coalesce(entry.settled, if(fails, 'fail', 'pass')) AS status",
+            "failed",
+            "total",
+            "ratio",
+            """CASE WHEN entry.settled IS NOT NULL THEN entry.wording[0]
+                    WHEN NOT fails THEN NULL
+                    WHEN size(entry.wording) = 2 THEN concat(entry.wording[0], failed, entry.wording[1])
+                    ELSE concat(entry.wording[0], failed, entry.wording[1],
+                                format_string('%.2f%%', ratio * 100), entry.wording[2])
+               END AS details""",
+        )
     )
 
 
-def _message(template: str, **parts: Any) -> Column:
-    """The template with its parts filled in; parts may be columns."""
-    pieces = []
-    for text, part, _, _ in Formatter().parse(template):
-        pieces.append(F.lit(text))
-        if part is not None:
-            value = parts[part]
-            pieces.append(value.cast("string") if isinstance(value, Column) else F.lit(str(value)))
-    return F.concat(*pieces)
-
-
 def summarize(report: DataFrame) -> DataFrame:
     """One row of totals over a report; a rule fails if any of its lines does."""
     per_rule = report.groupBy("rule_no").agg(
-        F.bool_or(F.col("status") == "fail").alias("failed"),
-        F.bool_or(F.col("status") == "skipped").alias("skipped"),
+        F.expr("bool_or(status = 'fail') AS failed"), F.expr("bool_or(status = 'skipped') AS skipped")
     )
-    return per_rule.agg(
-        F.coalesce(~F.bool_or("failed"), F.lit(True)).alias("passed"),
-        F.count(F.lit(1)).alias("total_rules"),
-        F.count_if(~F.col("failed") & ~F.col("skipped")).alias("passed_rules"),
-        F.count_if("failed").alias("failed_rules"),
-        F.count_if("skipped").alias("skipped_rules"),
+    return per_rule.selectExpr(
+        "NOT coalesce(bool_or(failed), false) AS passed",
+        "count(1) AS total_rules",
+        "count_if(NOT failed AND NOT skipped) AS passed_rules",
+        "count_if(failed) AS failed_rules",
+        "count_if(skipped) AS skipped_rules",
     )
 
 
