@@ -11,7 +11,12 @@ from qualitypipe.operators.quality import (
 )
 from qualitypipe.operators.steps import StepError, apply_steps
 from qualitypipe.plans.ingest import IngestResult, ValidationError, run_ingest
-from qualitypipe.plans.stations import stations_config, stations_profile
+from qualitypipe.plans.stations import (
+    read_stations,
+    stations_config,
+    stations_profile,
+    transform_stations,
+)
 from qualitypipe.sinks.files import preview, write_files
 from qualitypipe.sources.csv import read_csv
 
@@ -28,11 +33,13 @@ __all__ = [
     "preview",
     "profile",
     "read_csv",
+    "read_stations",
     "run_ingest",
     "stations_config",
     "stations_profile",
     "summarize",
     "top_n",
+    "transform_stations",
     "validate",
     "write_files",
 ]

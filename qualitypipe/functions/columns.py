@@ -26,12 +26,13 @@ CAST_TARGETS = {
 
 # try_cast turns every bad text into a caught exception, some 50 times the cost of a good one. These
 # shapes cover all that can be converted and keep almost everything else away from the cast.
-_BLANK = r"[\x00-\x20\x7F]*"
-_INT_DIGITS = "[0-9]{0,9}|1[0-9]{9}|20[0-9]{8}|21[0-4][0-9]{7}"  # what fits, and little beyond
-_INT_TEXT = rf"^{_BLANK}([+-]?)(?=[0-9.])0*({_INT_DIGITS})(?:\.[0-9]*)?{_BLANK}\z"
+_BLANK = r"[\x00-\x20\x7F]*+"
+_INT_DIGITS = "[0-9]{1,9}|1[0-9]{9}|20[0-9]{8}|21[0-4][0-9]{7}"  # what fits, and little beyond
+_INT_TEXT = rf"^{_BLANK}[+-]?(?:0*+(?:{_INT_DIGITS})|0++)(?:\.[0-9]*+)?{_BLANK}\z"
+_FRACTION_TEXT = rf"^{_BLANK}[+-]?\.[0-9]*+{_BLANK}\z"
 _DOUBLE_TEXT = (
-    rf"^{_BLANK}[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[dDfF]?"
-    rf"|0[xX][0-9a-fA-F.]+[pP][+-]?[0-9]+[dDfF]?|(?i:inf|infinity|nan)){_BLANK}\z"
+    rf"^{_BLANK}[+-]?(?:(?:[0-9]++\.?[0-9]*+|\.[0-9]++)(?:[eE][+-]?[0-9]++)?[dDfF]?"
+    rf"|0[xX][0-9a-fA-F.]++[pP][+-]?[0-9]++[dDfF]?|(?i:inf|infinity|nan)){_BLANK}\z"
 )
 _DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 _TRUE_TEXT = ["t", "true", "y", "yes", "1"]
@@ -49,8 +50,8 @@ def is_text(data_type: T.DataType) -> bool:
 
 def text_to_int(text: Column) -> Column:
     """Text to int: ``'7.9'`` gives 7 and ``'-.5'`` 0; text that is no number or does not fit, NULL."""
-    whole_number = F.regexp_replace(text, _INT_TEXT, "$10$2")
-    return F.when(text.rlike(_INT_TEXT), whole_number.try_cast("int"))
+    whole_number = F.substring_index(text, ".", 1).try_cast("int")
+    return F.when(text.rlike(_INT_TEXT), whole_number).when(text.rlike(_FRACTION_TEXT), F.lit(0))
 
 
 def text_to_double(text: Column) -> Column:

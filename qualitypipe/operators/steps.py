@@ -25,9 +25,9 @@ from qualitypipe.functions.columns import col_named
 
 @dataclass(frozen=True)
 class StepNote:
-    """Something a step left out."""
+    """Something a step, or the analytics after the steps, left out."""
 
-    step_no: int
+    step_no: int | None
     step: str | None
     target: str | None
     reason: str

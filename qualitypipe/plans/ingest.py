@@ -80,14 +80,15 @@ def run_ingest(
     sink = from_config(FileSink, config.output)
     rows_written = write_files(transformed.frame, sink.path, sink.format)
     output = read_back(spark, transformed.frame, sink)
+    analytics, analytics_notes = analyze(output, config.analytics)
     return IngestResult(
         validation=validation,
-        notes=transformed.notes,
+        notes=transformed.notes + analytics_notes,
         rows_read=rows_read,
         rows_written=rows_written,
         raw=raw,
         output=output,
-        analytics=analyze(output, config.analytics),
+        analytics=analytics,
         examples=failure_examples(raw, rules, validation),
     )
 
@@ -99,16 +100,19 @@ def read_back(spark: SparkSession, written: DataFrame, sink: FileSink) -> DataFr
     return written
 
 
-def analyze(df: DataFrame, config: Mapping[str, Any]) -> dict[str, DataFrame]:
-    """``group_counts`` and ``top_n`` as configured, both lazy."""
+def analyze(df: DataFrame, config: Mapping[str, Any]) -> tuple[dict[str, DataFrame], list[StepNote]]:
+    """``group_counts`` and ``top_n`` as configured, both lazy; columns that do not exist are noted."""
     results = {}
     groupings = config.get("groupby_columns") or []
-    if groupings:
-        results["group_counts"] = an.group_counts(df, groupings)
-    if config.get("top_n"):
-        top = from_config(TopN, config["top_n"])
+    top = from_config(TopN, config["top_n"]) if config.get("top_n") else None
+    asked = [*groupings, *([top.column] if top else [])]
+    missing = [column for column in dict.fromkeys(asked) if column not in df.columns]
+    present = [column for column in groupings if column not in missing]
+    if present:
+        results["group_counts"] = an.group_counts(df, present)
+    if top and top.column not in missing:
         results["top_n"] = an.top_n(df, top.column, top.n)
-    return results
+    return results, [StepNote(None, "analytics", column, "column not found") for column in missing]
 
 
 def failure_examples(

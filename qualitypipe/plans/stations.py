@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from qualitypipe import fixed_values as fixed
 from qualitypipe.operators import quality as dq
+from qualitypipe.operators.steps import apply_steps
+from qualitypipe.sources.csv import read_csv
 
 INGESTION: dict[str, Any] = {
     "schema": fixed.STATIONS_SCHEMA,
@@ -77,6 +79,15 @@ def stations_config(input_path: str | list[str], output_path: str) -> dict[str,
     }
 
 
+def read_stations(spark: SparkSession, input_path: str | list[str]) -> DataFrame:
+    return read_csv(spark, {**INGESTION, "input_path": input_path})
+
+
+def transform_stations(df: DataFrame) -> DataFrame:
+    """The derived columns in output order."""
+    return apply_steps(df, STEPS, on_error="raise").frame
+
+
 def stations_profile(df: DataFrame) -> DataFrame:
     """NULL counts of the required columns, duplicate ids and badly formed dates, as one row."""
     return dq.profile(

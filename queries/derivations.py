@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualitypipe import count_by, group_counts, top_n
+from qualitypipe import count_by, group_counts, top_n, transform_stations
 from qualitypipe import fixed_values as fixed
 from qualitypipe.operators.steps import apply_steps
 from qualitypipe.plans import stations as stations_plan
-from qualitypipe.plans.stations import DERIVATIONS, STEPS
+from qualitypipe.plans.stations import DERIVATIONS
 from queries.registry import query, table
 from queries.stations_data import CLEAN_STATIONS_SQL, STATIONS_SQL, full_stations, stations
 
@@ -23,7 +23,7 @@ def _step(kind: str) -> dict:
 
 def clean_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All derivations and the final projection, without the time of processing."""
-    return apply_steps(full_stations(spark, sf_dir), STEPS).frame.drop("processed_timestamp")
+    return transform_stations(full_stations(spark, sf_dir)).drop("processed_timestamp")
 
 
 @query(

@@ -4,7 +4,14 @@ from datetime import date
 
 import pytest
 
-from qualitypipe import ValidationError, run_ingest, stations_config, stations_profile
+from qualitypipe import (
+    ValidationError,
+    read_stations,
+    run_ingest,
+    stations_config,
+    stations_profile,
+    transform_stations,
+)
 from qualitypipe import fixed_values as fixed
 
 PEOPLE = """id,name,amount,date
@@ -135,6 +142,14 @@ def test_analytics_are_the_same_for_every_format(spark, config, file_format):
     assert [tuple(r) for r in result.analytics["top_n"].collect()] == [("", 1), ("Bob", 1)]
 
 
+def test_analytics_on_columns_that_do_not_exist_are_noted(spark, config):
+    config["analytics"] = {"groupby_columns": ["amount_category", "gone"], "top_n": {"column": "lost", "n": 3}}
+    result = run_ingest(spark, config)
+    assert result.analytics["group_counts"].count() == 3
+    assert "top_n" not in result.analytics
+    assert [(n.step, n.target) for n in result.notes] == [("analytics", "gone"), ("analytics", "lost")]
+
+
 # --- Charging stations -----------------------------------------------------------------------------
 
 COLUMNS = [part.split()[0] for part in fixed.STATIONS_SCHEMA.split(",")]
@@ -208,9 +223,13 @@ def test_stations_run(spark, stations_csv, tmp_path):
     assert [r[0] for r in result.examples["check_date_format.date_mise_en_service"].collect()] == ["invalid-date"]
 
 
-def test_stations_profile(spark, stations_csv, tmp_path):
-    result = run_ingest(spark, stations_config(stations_csv, str(tmp_path / "out")))
-    assert stations_profile(result.raw).first().asDict() == {
+def test_stations_functions(spark, stations_csv):
+    raw = read_stations(spark, stations_csv)
+    clean = transform_stations(raw)
+    assert raw.columns == COLUMNS
+    assert clean.columns == fixed.STATIONS_OUTPUT
+    assert sorted(r.power_category for r in clean.collect()) == ["High", "Low", "Medium"]
+    assert stations_profile(raw).first().asDict() == {
         "null_id_pdc_itinerance": 0,
         "null_nom_station": 1,
         "null_adresse_station": 0,
