@@ -39,9 +39,13 @@ _TRUE_TEXT = ["t", "true", "y", "yes", "1"]
 _FALSE_TEXT = ["f", "false", "n", "no", "0"]
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def col_named(name: str) -> Column:
     """The column with exactly this name, also when the name holds dots or backticks."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def is_text(data_type: T.DataType) -> bool:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from qualitypipe import fixed_values as fixed
 from qualitypipe.config import from_config
-from qualitypipe.functions.columns import col_named, is_text, text_to_double
+from qualitypipe.functions.columns import col_named, is_text, quoted, text_to_double
 
 # Row checks that share one outcome mask. 2^10 bounds the distinct masks a task can send to the shuffle.
 _CHECKS_PER_MASK = 10
@@ -201,7 +201,7 @@ def measure(
         *(condition.alias(f"_fact{i}") for i, condition in enumerate(conditions.values())),
     )
     if not unique:
-        counts = (f"count_if(_fact{i}) AS `{name}`" for i, name in enumerate(conditions))
+        counts = (f"count_if(_fact{i}) AS {quoted(name)}" for i, name in enumerate(conditions))
         return outcomes.selectExpr("count(1) AS total", *counts)
 
     keys = [f"_key{i}" for i in range(len(unique))]
@@ -225,7 +225,7 @@ def measure(
     }
 
     def summed(value: str, where: str, name: str) -> str:
-        return f"coalesce(sum(CASE WHEN {where} THEN {value} END), 0L) AS `{name}`"
+        return f"coalesce(sum(CASE WHEN {where} THEN {value} END), 0L) AS {quoted(name)}"
 
     return counted.selectExpr(
         summed("_rows", in_set[grouped_by[-1]], "total"),
@@ -307,7 +307,9 @@ def build_report(df: DataFrame, rules: Iterable[Mapping[str, Any] | Rule]) -> Da
         reports.append(_lines(nothing, [("NULL", entry) for entry in settled]))
     keys = list(by_key)
     passes = [keys[i : i + _KEYS_PER_PASS] for i in range(0, len(keys), _KEYS_PER_PASS)]
-    for number, pass_keys in enumerate(passes or [[]] if by_row or passes else []):
+    if by_row and not passes:
+        passes = [[]]
+    for number, pass_keys in enumerate(passes):
         row_entries = by_row if number == 0 else []
         conditions = {f"row{i}": entry.check.failing for i, entry in enumerate(row_entries)}
         unique = {f"key{i}": column for i, column in enumerate(pass_keys)}
@@ -396,10 +398,16 @@ class Validation:
 
 
 def validate(df: DataFrame, rules: Iterable[Mapping[str, Any] | Rule]) -> Validation:
-    """Run the report: one job, whatever the number of rules."""
+    """Run the report, whatever the number of rules. Lines come in the order of rules and columns."""
     parsed = [parse_rule(rule) for rule in rules]
     lines = build_report(df, parsed).collect() if parsed else []
-    return Validation(sorted(lines, key=lambda r: r.rule_no), len(parsed))
+    place = {
+        (rule_no, column): position
+        for rule_no, rule in enumerate(parsed, start=1)
+        for position, column in enumerate(getattr(rule, "columns", ()))
+    }
+    lines.sort(key=lambda line: (line.rule_no, place.get((line.rule_no, line.column_name), 0)))
+    return Validation(lines, len(parsed))
 
 
 # ---------------------------------------------------------------------------------------------------

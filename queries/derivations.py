@@ -141,3 +141,15 @@ def analytics_group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def analytics_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_n(table(spark, sf_dir, "orders"), "o_custkey", 10)
+
+
+@query(
+    "\n UNION ALL ".join(
+        f'SELECT \'{column}\' AS column_name, CAST({column} AS VARCHAR) AS "value", count(*) AS "count" '
+        f"FROM lineitem GROUP BY {column}"
+        for column in ("l_returnflag", "l_linestatus", "l_linenumber", "l_suppkey")
+    )
+)
+def analytics_group_counts_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["l_returnflag", "l_linestatus", "l_linenumber", "l_suppkey"]
+    return group_counts(table(spark, sf_dir, "lineitem"), columns)

@@ -240,3 +240,48 @@ def dq_report_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"name": "discount", "type": "value_range", "column": "l_discount", "max": 0.05},
     ]
     return build_report(table(spark, sf_dir, "lineitem"), rules)
+
+
+@query(
+    _report(
+        _unique(1, "doc_id", "documents", name="copies"),
+        _unique(1, "text", "documents", name="copies"),
+        _not_null(2, "text", "documents"),
+        _regex(3, "lang", "documents", "^(en|fr)$", name="languages"),
+        _regex(4, "text", "documents", "[0-9]", name="has_digit"),
+        _range(5, "n_chars", "documents", 100, 5000, name="length"),
+    )
+)
+def dq_report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [
+        {"name": "copies", "type": "unique", "columns": ["doc_id", "text"]},
+        {"type": "not_null", "columns": ["text"]},
+        {"name": "languages", "type": "regex_match", "column": "lang", "pattern": "^(en|fr)$"},
+        {"name": "has_digit", "type": "regex_match", "column": "text", "pattern": "[0-9]"},
+        {"name": "length", "type": "value_range", "column": "n_chars", "min": 100, "max": 5000},
+    ]
+    return build_report(table(spark, sf_dir, "documents"), rules)
+
+
+@query(
+    _report(
+        _unique(1, "event_id", "events"),
+        _unique(1, "user_id", "events"),
+        _regex(2, "props", "events", '^\\{"k": [0-9]+\\}$'),
+        _range(3, "value", "events", 1, None),
+        _regex(4, "event_type", "events", "^(click|view|purchase)$", name="types"),
+    )
+)
+def dq_report_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [
+        {"type": "unique", "columns": ["event_id", "user_id"]},
+        {"type": "regex_match", "column": "props", "pattern": '^\\{"k": [0-9]+\\}$'},
+        {"type": "value_range", "column": "value", "min": 1},
+        {"name": "types", "type": "regex_match", "column": "event_type", "pattern": "^(click|view|purchase)$"},
+    ]
+    return build_report(table(spark, sf_dir, "events"), rules)
+
+
+@query("SELECT text, count(*) AS \"count\" FROM documents GROUP BY 1 HAVING count(*) > 1 ORDER BY 2 DESC, 1 LIMIT 5")
+def dq_duplicate_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_examples(table(spark, sf_dir, "documents"), "text")
