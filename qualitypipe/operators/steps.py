@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from qualitypipe import fixed_values as fixed
 from qualitypipe.config import from_config
 from qualitypipe.functions import columns as fn
-from qualitypipe.functions.columns import col_named
+from qualitypipe.functions.columns import col_named, quoted
 
 
 @dataclass(frozen=True)
@@ -243,7 +243,7 @@ class SelectColumns:
         missing = [c for c in self.columns if c not in df.columns]
         if missing:
             raise StepError(f"select_columns: not found: {', '.join(missing)}")
-        return df.select(*map(col_named, self.columns))
+        return df.select(*map(quoted, self.columns))
 
 
 @dataclass(frozen=True)

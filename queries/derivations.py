@@ -82,6 +82,22 @@ def derive_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derived(spark, sf_dir, _step("bucketize"), "power_category")
 
 
+@query(
+    f"""
+    SELECT nom_station,
+      CASE WHEN puissance_nominale < 50 THEN 'Low' WHEN puissance_nominale < 150 THEN 'Medium'
+           ELSE 'High' END AS power_category
+    FROM ({STATIONS_SQL}) AS stations"""
+)
+def derive_bucket_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets as a SQL expression: its ELSE takes a NULL power for a high one."""
+    case = (
+        "CASE WHEN puissance_nominale < 50 THEN 'Low' WHEN puissance_nominale < 150 THEN 'Medium' "
+        "ELSE 'High' END"
+    )
+    return _derived(spark, sf_dir, {"type": "add_columns", "columns": {"power_category": case}}, "power_category")
+
+
 @query(CLEAN_STATIONS_SQL)
 def stations_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_stations(spark, sf_dir)
