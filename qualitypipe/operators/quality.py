@@ -13,6 +13,7 @@ import json
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import zip_longest
 from string import Formatter
 from typing import Any
 
@@ -25,7 +26,10 @@ from qualitypipe.functions.columns import col_named, is_text, quoted, text_to_do
 
 # Row checks that share one outcome mask. 2^10 bounds the distinct masks a task can send to the shuffle.
 _CHECKS_PER_MASK = 10
-# Unique columns that share one pass; each makes the shuffled rows 8 bytes wider.
+# What shares one pass over the data. Many more row checks make generated methods too large to be compiled
+# (8,000 bytes of code), which slows a pass down several times; each unique column makes the shuffled rows
+# 8 bytes wider.
+_CHECKS_PER_PASS = 40
 _KEYS_PER_PASS = 8
 
 
@@ -284,6 +288,10 @@ def _wording(template: str, **parts: Any) -> list[str]:
     return texts
 
 
+def _chunks(items: list, size: int) -> list[list]:
+    return [items[i : i + size] for i in range(0, len(items), size)]
+
+
 def build_report(df: DataFrame, rules: Iterable[Mapping[str, Any] | Rule]) -> DataFrame:
     """Lazy report, one row per rule and column: ``rule_no, rule, rule_type, column_name, status,
     failed, total, ratio, details``."""
@@ -305,14 +313,10 @@ def build_report(df: DataFrame, rules: Iterable[Mapping[str, Any] | Rule]) -> Da
     if settled:
         nothing = df.sparkSession.range(1).selectExpr("cast(NULL AS bigint) AS total")
         reports.append(_lines(nothing, [("NULL", entry) for entry in settled]))
-    keys = list(by_key)
-    passes = [keys[i : i + _KEYS_PER_PASS] for i in range(0, len(keys), _KEYS_PER_PASS)]
-    if by_row and not passes:
-        passes = [[]]
-    for number, pass_keys in enumerate(passes):
-        row_entries = by_row if number == 0 else []
+    row_chunks, key_chunks = _chunks(by_row, _CHECKS_PER_PASS), _chunks(list(by_key), _KEYS_PER_PASS)
+    for row_entries, keys in zip_longest(row_chunks, key_chunks, fillvalue=[]):
         conditions = {f"row{i}": entry.check.failing for i, entry in enumerate(row_entries)}
-        unique = {f"key{i}": column for i, column in enumerate(pass_keys)}
+        unique = {f"key{i}": column for i, column in enumerate(keys)}
         entries = list(zip(conditions, row_entries, strict=True))
         entries += [(name, entry) for name, column in unique.items() for entry in by_key[column]]
         reports.append(_lines(measure(df, conditions, unique), entries))

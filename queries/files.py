@@ -29,7 +29,11 @@ def src_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
 
 
-@query("SELECT o_orderkey, nullif(o_orderstatus, 'P') AS o_orderstatus, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders")
+@query(
+    """
+    SELECT o_orderkey, nullif(o_orderstatus, 'P') AS o_orderstatus, CAST(o_orderdate AS DATE) AS o_orderdate
+    FROM orders"""
+)
 def src_csv_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey", "nullif(o_orderstatus, 'P') AS o_orderstatus", "cast(o_orderdate AS date) AS o_orderdate"
@@ -44,7 +48,11 @@ def src_csv_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, config).withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
 
 
-@query("SELECT s_suppkey, s_name, s_nationkey, CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS s_acctbal FROM supplier")
+@query(
+    """
+    SELECT s_suppkey, s_name, s_nationkey, CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS s_acctbal
+    FROM supplier"""
+)
 def src_csv_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").withColumn(
         "s_acctbal", F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal"))

@@ -28,7 +28,10 @@ def _line(no, rule, kind, column, source, failed, details, allowed="0.0"):
 
 
 def _not_null(no, column, source, name="not_null", threshold="1.0"):
-    details = f"concat('Column ''{column}'' has ', failed, ' null values (', printf('%.2f%%', ratio * 100), '), exceeding threshold')"
+    share = "printf('%.2f%%', ratio * 100)"
+    details = (
+        f"concat('Column ''{column}'' has ', failed, ' null values (', {share}, '), exceeding threshold')"
+    )
     failed = f"count(*) - count({column})"
     allowed = f"CAST(1.0 AS DOUBLE) - CAST({threshold} AS DOUBLE)"
     return _line(no, name, "not_null", column, source, failed, details, allowed)
@@ -282,6 +285,10 @@ def dq_report_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_report(table(spark, sf_dir, "events"), rules)
 
 
-@query("SELECT text, count(*) AS \"count\" FROM documents GROUP BY 1 HAVING count(*) > 1 ORDER BY 2 DESC, 1 LIMIT 5")
+@query(
+    """
+    SELECT text, count(*) AS "count" FROM documents GROUP BY 1 HAVING count(*) > 1
+    ORDER BY 2 DESC, 1 ASC NULLS LAST LIMIT 5"""
+)
 def dq_duplicate_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_examples(table(spark, sf_dir, "documents"), "text")
