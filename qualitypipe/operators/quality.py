@@ -326,7 +326,11 @@ def build_report(df: DataFrame, rules: Iterable[Mapping[str, Any] | Rule]) -> Da
 
 
 def _lines(measured: DataFrame, entries: list[tuple[str, _Entry]]) -> DataFrame:
-    """One line per entry from the one row of numbers; an entry comes with the name of its number."""
+    """One line per entry from the one row of numbers; an entry comes with the name of its number.
+
+    Shares are written by ``format_number``: it rounds the double itself, where ``format_string`` rounds its
+    shortest decimal form and turns 1.005, which is below 1.005 as a double, into 1.01.
+    """
     numbers = ", ".join(f"cast({name} AS bigint)" for name, _ in entries)
     known = F.from_json(F.lit(json.dumps([entry.as_json() for _, entry in entries])), _ENTRY_TYPE)
     return (
@@ -347,7 +351,7 @@ def _lines(measured: DataFrame, entries: list[tuple[str, _Entry]]) -> DataFrame:
                     WHEN NOT fails THEN NULL
                     WHEN size(entry.wording) = 2 THEN concat(entry.wording[0], failed, entry.wording[1])
                     ELSE concat(entry.wording[0], failed, entry.wording[1],
-                                format_string('%.2f%%', ratio * 100), entry.wording[2])
+                                format_number(ratio * 100, 2), '%', entry.wording[2])
                END AS details""",
         )
     )
