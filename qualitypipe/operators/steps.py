@@ -217,7 +217,10 @@ class FirstTrue:
 
 @_step("bucketize")
 class Bucketize:
-    """Label of the first of ``bounds`` (``{"below": 50, "label": "Low"}``) above the value."""
+    """Label of the first of ``bounds`` (``{"below": 50, "label": "Low"}``) above the value.
+
+    Text is compared as a number, and text that is none counts as NULL.
+    """
 
     source_column: str | None = None
     target_column: str = "category"
@@ -229,7 +232,10 @@ class Bucketize:
         if self.source_column not in df.columns:
             notify(self.source_column, "column not found")
             return df
-        label = fn.bucketize(col_named(self.source_column), self.bounds, self.top_label, self.null_label)
+        value = col_named(self.source_column)
+        if fn.is_text(df.schema[self.source_column].dataType):
+            value = fn.text_to_double(value)
+        label = fn.bucketize(value, self.bounds, self.top_label, self.null_label)
         return _attempt(df, lambda: df.withColumn(self.target_column, label), self.target_column, notify)
 
 

@@ -201,6 +201,19 @@ def test_first_true_bucketize_parse_dates(spark):
     assert [(n.step_no, n.target) for n in result.notes] == [(1, "gone"), (3, "gone")]
 
 
+def test_bucketize_text(spark):
+    df = spark.createDataFrame([("49.5",), ("100",), ("many",), ("",), (None,)], "power string")
+    step = {
+        "type": "bucketize",
+        "source_column": "power",
+        "target_column": "size",
+        "bounds": [{"below": 50, "label": "Low"}],
+        "top_label": "High",
+        "null_label": "Unknown",
+    }
+    assert [r.size for r in _frame(df, step).collect()] == ["Low", "High", "Unknown", "Unknown", "Unknown"]
+
+
 def test_select_columns(sales):
     assert _frame(sales, {"type": "select_columns", "columns": ["date", "id"]}).columns == ["date", "id"]
     with pytest.raises(StepError, match="nope"):
