@@ -6,7 +6,7 @@ from pathlib import Path
 
 import pytest
 
-from __spark_entry__ import queries
+from queries import QUERIES
 from queries.registry import scratch
 
 SF_DIR = Path("/root/testdata/sf0.001")
@@ -21,9 +21,9 @@ def test_scratch_lies_in_the_shared_folder(spark):
 
 
 @pytest.mark.skipif(not SF_DIR.exists(), reason="needs the given tables")
-@pytest.mark.parametrize("name", sorted(n for n in queries() if not n.startswith(WRITING)))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(WRITING)))
 def test_plans_stay_in_the_jvm_and_join_nothing(spark, name):
-    plan = queries()[name](spark, str(SF_DIR))._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, str(SF_DIR))._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
     assert "Cartesian" not in plan
     assert "Python" not in plan

@@ -8,7 +8,8 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from queries import ORACLES, QUERIES
 
 SF_DIR = Path("/root/testdata/sf0.01")
 
@@ -47,13 +48,13 @@ SPARK_TYPE = {
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = queries()[name](spark, str(SF_DIR))
-    relation = duck.sql(oracle_sql()[name])
+    df = QUERIES[name](spark, str(SF_DIR))
+    relation = duck.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(relation.columns)
     types = {c: SPARK_TYPE[str(t)] for c, t in zip(relation.columns, relation.types, strict=True)}
     assert dict(df.dtypes) == types
