@@ -119,16 +119,14 @@ def train(docs: DataFrame, keep: Column, per_language: int = 500) -> LanguageMod
     return fit([(r.text, r.lang) for r in sample_by_class(rows, "lang", per_language).collect()])
 
 
-def identify(docs: DataFrame, model: LanguageModel, keep: list[str], min_lead: float = 1.0) -> DataFrame:
+def identify(docs: DataFrame, model: LanguageModel, keep: list[str], text: str = "text", min_lead: float = 1.0) -> DataFrame:
     """The columns ``keep`` with ``lang_pred``, ``score`` (0 to 1) and ``ambiguous``."""
-    source = docs.select(
-        *keep, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters"), F.col("text").cast("binary").alias("_text")
-    )
-    kept = source.select(*keep)
-    schema = kept.schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
+    own = [] if text in keep else [text]
+    source = docs.select(*keep, *own, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
+    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
 
     def predict(batches):
-        for block in blocks(batches, "_text"):
+        for block in blocks(batches, text):
             letters = np.array(block.rows.column("_letters"))
             if model.languages:
                 best, score, lead = decode(model, features(block))

@@ -17,7 +17,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from qualitypipe.llm.shared import Adam, Block, blocks, blocks_of, lower_bytes, mix, sigmoid
 
@@ -157,13 +156,13 @@ def score_block(model: QualityModel, block: Block) -> tuple[np.ndarray, np.ndarr
     return f["p"], number, most
 
 
-def score(docs: DataFrame, model: QualityModel, keep: list[str]) -> DataFrame:
+def score(docs: DataFrame, model: QualityModel, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` with ``score`` (0 to 1), ``n_passages`` and ``top_attention``."""
-    source = docs.select(*keep, F.col("text").cast("binary").alias("_text"))
+    source = docs.select(*keep) if text in keep else docs.select(*keep, text)
     schema = docs.select(*keep).schema.add("score", "double").add("n_passages", "long").add("top_attention", "double")
 
     def apply(batches):
-        for block in blocks(batches, "_text", limit=1 << 20):
+        for block in blocks(batches, text, limit=1 << 20):
             p, number, most = score_block(model, block)
             columns = [block.rows.column(c) for c in keep]
             columns += [pa.array(p.astype(float)), pa.array(number.astype(np.int64)), pa.array(most.astype(float))]

@@ -157,7 +157,10 @@ def blocks_of(texts: list[str]) -> Iterator[Block]:
 def blocks(batches, column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[Block]:
     """Cuts arrow batches into blocks of whole documents; a null text counts as empty."""
     for batch in batches:
-        texts = pc.fill_null(batch.column(column), b"")
+        texts = batch.column(column)
+        if not pa.types.is_binary(texts.type) and not pa.types.is_large_binary(texts.type):
+            texts = texts.cast(pa.binary() if pa.types.is_string(texts.type) else pa.large_binary())
+        texts = pc.fill_null(texts, b"")
         if not len(texts):
             continue
         wide = pa.types.is_large_binary(texts.type)

@@ -19,7 +19,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qualitypipe.llm.shared import Adam, Block, blocks, blocks_of, lower_bytes, mix, sigmoid
@@ -256,14 +255,14 @@ def score_block(model: ToxicityModel, block: Block) -> tuple[np.ndarray, list[li
 SPANS = T.ArrayType(T.StructType().add("start_at", "integer").add("end_at", "integer").add("p", "double"))
 
 
-def score(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
+def score(docs: DataFrame, model: ToxicityModel, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` with ``score`` (0 to 1), ``spans`` and ``n_spans``."""
-    source = docs.select(*keep, F.col("text").cast("binary").alias("_text"))
+    source = docs.select(*keep) if text in keep else docs.select(*keep, text)
     schema = docs.select(*keep).schema.add("score", "double").add("spans", SPANS).add("n_spans", "integer")
     kind = pa.list_(pa.struct([("start_at", pa.int32()), ("end_at", pa.int32()), ("p", pa.float64())]))
 
     def apply(batches):
-        for block in blocks(batches, "_text", limit=1 << 20):
+        for block in blocks(batches, text, limit=1 << 20):
             p, spans = score_block(model, block)
             columns = [block.rows.column(c) for c in keep]
             columns += [pa.array(p), pa.array(spans, kind), pa.array([len(s) for s in spans], pa.int32())]
