@@ -11,6 +11,7 @@ OUTPUT_FORMAT = "parquet"
 PREVIEW_ROWS = 5
 EXAMPLE_ROWS = 5
 TOP_N = 10
+COUNT_COLUMN = "count"
 
 # --- Fixed values: patterns and formats -----------------------------------------------------------
 COORDINATES_PATTERN = r"\[(.*?)\]"
@@ -44,11 +45,24 @@ STATIONS_SCHEMA = """
 STATIONS_NULL_TOKEN = "N/A"
 
 # --- Fixed values: charging stations, output columns in order -------------------------------------
-STATIONS_OUTPUT = (
-    "id_pdc_itinerance nom_station adresse_station city latitude longitude puissance_nominale "
-    "power_category charging_type nbre_pdc gratuit horaires accessibilite_pmr "
-    "date_mise_en_service date_maj processed_timestamp"
-).split()
+STATIONS_OUTPUT = [
+    "id_pdc_itinerance",
+    "nom_station",
+    "adresse_station",
+    "city",
+    "latitude",
+    "longitude",
+    "puissance_nominale",
+    "power_category",
+    "charging_type",
+    "nbre_pdc",
+    "gratuit",
+    "horaires",
+    "accessibilite_pmr",
+    "date_mise_en_service",
+    "date_maj",
+    "processed_timestamp",
+]
 
 # --- Fixed values: charging stations, labels, bounds and checked columns --------------------------
 CHARGING_TYPES = {  # first true flag wins

@@ -48,10 +48,27 @@ def col_named(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def count_name(column: str) -> str:
+    """What a count beside this column is called: ``count``, or ``number`` if the column itself has that name."""
+    return "number" if column.lower() == fixed.COUNT_COLUMN else fixed.COUNT_COLUMN
+
+
 def is_text(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.StringType, T.CharType, T.VarcharType))
 
 
+def is_wide(data_type: T.DataType) -> bool:
+    """Text compared byte by byte, or binary: values of any length that a digest can stand for."""
+    if isinstance(data_type, (T.BinaryType, T.CharType, T.VarcharType)):
+        return True
+    return data_type == T.StringType()
+
+
+def digest(column: Column) -> Column:
+    """The 32 bytes of SHA-256; NULL stays NULL."""
+    return F.unhex(F.sha2(column.cast("binary"), 256))
+
+
 def text_to_int(text: Column) -> Column:
     """Text to int: ``'7.9'`` gives 7 and ``'-.5'`` 0; text that is no number or does not fit, NULL."""
     whole_number = F.substring_index(text, ".", 1).try_cast("int")
@@ -77,8 +94,13 @@ def lenient_cast(column: Column, source: T.DataType, target: str) -> Column:
     return column.try_cast(CAST_TARGETS[target])
 
 
-def parse_date(column: Column, date_format: str = fixed.DATE_FORMAT) -> Column:
-    """Text to date by a format; text that does not follow it becomes NULL."""
+def parse_date(
+    column: Column, date_format: str = fixed.DATE_FORMAT, source: T.DataType | None = None
+) -> Column:
+    """To date. Text is read by a format, and text that does not follow it becomes NULL; dates stay, and of
+    timestamps the day is kept, whatever the format. Without a ``source`` type the column is taken for text."""
+    if source is not None and not is_text(source):
+        return column.try_cast("date")
     parsed = F.try_to_date(column, date_format)
     if date_format != fixed.DATE_FORMAT:
         return parsed

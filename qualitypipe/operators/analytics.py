@@ -8,17 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qualitypipe import fixed_values as fixed
-from qualitypipe.functions.columns import col_named
+from qualitypipe.functions.columns import col_named, count_name
 
 
 def count_by(df: DataFrame, column: str) -> DataFrame:
-    """``(column, count)``; NULL is a group of its own."""
-    return df.groupBy(col_named(column).alias(column)).agg(F.count(F.lit(1)).alias("count"))
+    """``(column, count)``; NULL is a group of its own. Beside a column called count, the count is ``number``."""
+    counts = df.groupBy(col_named(column).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.select(F.col("_value").alias(column), F.col("_rows").alias(count_name(column)))
 
 
 def top_n(df: DataFrame, column: str, n: int = fixed.TOP_N) -> DataFrame:
     """The ``n`` most frequent values; equal counts are ordered by value."""
-    return count_by(df, column).orderBy(F.desc("count"), col_named(column).asc_nulls_last()).limit(n)
+    return count_by(df, column).orderBy(F.desc(count_name(column)), col_named(column).asc_nulls_last()).limit(n)
 
 
 def group_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -17,20 +17,21 @@ from itertools import zip_longest
 from string import Formatter
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from qualitypipe import fixed_values as fixed
 from qualitypipe.config import from_config
-from qualitypipe.functions.columns import col_named, is_text, quoted, text_to_double
+from qualitypipe.functions.columns import col_named, count_name, digest, is_text, is_wide, quoted, text_to_double
 
 # Row checks that share one outcome mask. 2^10 bounds the distinct masks a task can send to the shuffle.
 _CHECKS_PER_MASK = 10
-# What shares one pass over the data. Many more row checks make generated methods too large to be compiled
-# (8,000 bytes of code), which slows a pass down several times; each unique column makes the shuffled rows
-# 8 bytes wider.
-_CHECKS_PER_PASS = 40
-_KEYS_PER_PASS = 8
+# What shares one scan of the data unless the caller says otherwise. Many more row checks make generated
+# methods too large to be compiled (8,000 bytes of code), which slows a scan down several times; each unique
+# column makes the shuffled rows 8 bytes wider.
+CHECKS_PER_SCAN = 40
+KEYS_PER_SCAN = 8
 
 
 # ---------------------------------------------------------------------------------------------------
@@ -58,6 +59,27 @@ def _missing(column: str | None) -> Check:
     return Check(column, status="fail", details=fixed.MISSING_COLUMN)
 
 
+def _list_of_names(rule: str, columns: Any) -> None:
+    if isinstance(columns, str):
+        raise ValueError(f"rule '{rule}': columns must be a list of names, not the text {columns!r}")
+
+
+def _fitting(df: DataFrame, check: Check) -> Check:
+    """The check, or a failed line with the reason if its condition does not fit the column's type."""
+    if check.settled:
+        return check
+    try:
+        asked = col_named(check.column) if check.unique else check.failing
+        (df.groupBy(asked).count() if check.unique else df.select(asked)).schema  # noqa: B018  analysis only
+    except AnalysisException as error:
+        reason = str(error).splitlines()[0]
+        return Check(check.column, status="fail", details=_UNFIT, parts={"reason": reason})
+    return check
+
+
+_UNFIT = "Rule does not fit column '{column}': {reason}"
+
+
 @dataclass(frozen=True)
 class NotNull:
     """NULLs may make up at most ``1 - threshold`` of a column; each column is checked on its own."""
@@ -66,6 +88,9 @@ class NotNull:
     columns: Iterable[str] = ()
     threshold: float = 1.0
 
+    def __post_init__(self):
+        _list_of_names(self.name, self.columns)
+
     def checks(self, df: DataFrame) -> list[Check]:
         return [
             Check(
@@ -87,6 +112,9 @@ class Unique:
     name: str = "unique"
     columns: Iterable[str] = ()
 
+    def __post_init__(self):
+        _list_of_names(self.name, self.columns)
+
     def checks(self, df: DataFrame) -> list[Check]:
         return [
             Check(c, unique=True, details=fixed.DUPLICATE_VALUES) if c in df.columns else _missing(c)
@@ -188,6 +216,11 @@ def not_matching(column: str, pattern: str) -> Column:
 # Measuring
 
 
+def _key(df: DataFrame, column: str) -> Column:
+    value = col_named(column)
+    return digest(value) if is_wide(df.schema[column].dataType) else value
+
+
 def measure(
     df: DataFrame, conditions: Mapping[str, Column] | None = None, unique: Mapping[str, str] | None = None
 ) -> DataFrame:
@@ -196,12 +229,13 @@ def measure(
 
     Without unique columns this is a plain aggregation. With them it stays one scan: a row's outcomes
     are packed into bit masks, and the rows are counted by grouping sets, one per unique column and one
-    per mask. Counting starts before the shuffle, so a value that many rows share, and above all the
+    per mask. Text and binary values are replaced by 256-bit digests, so that a shuffled key has 32 bytes at
+    most. Counting starts before the shuffle, so a value that many rows share, and above all the
     few masks, leave a task as a single record.
     """
     conditions, unique = dict(conditions or {}), dict(unique or {})
     outcomes = df.select(
-        *(col_named(column).alias(f"_key{i}") for i, column in enumerate(unique.values())),
+        *(_key(df, column).alias(f"_key{i}") for i, column in enumerate(unique.values())),
         *(condition.alias(f"_fact{i}") for i, condition in enumerate(conditions.values())),
     )
     if not unique:
@@ -292,15 +326,46 @@ def _chunks(items: list, size: int) -> list[list]:
     return [items[i : i + size] for i in range(0, len(items), size)]
 
 
-def build_report(df: DataFrame, rules: Iterable[Mapping[str, Any] | Rule]) -> DataFrame:
+def build_report(
+    df: DataFrame,
+    rules: Iterable[Mapping[str, Any] | Rule],
+    checks_per_scan: int = CHECKS_PER_SCAN,
+    keys_per_scan: int = KEYS_PER_SCAN,
+) -> DataFrame:
     """Lazy report, one row per rule and column: ``rule_no, rule, rule_type, column_name, status,
-    failed, total, ratio, details``."""
+    failed, total, ratio, details``. A rule that does not fit its column's type is a failed line.
+
+    One scan takes ``checks_per_scan`` row checks and ``keys_per_scan`` unique columns; ``count_scans`` tells how
+    many there are. Lines of different scans see a source that changes meanwhile at different times.
+    """
+    reports = [_lines(*part) for part in _parts(df, rules, checks_per_scan, keys_per_scan)]
+    if not reports:
+        return _lines(df.sparkSession.range(0).selectExpr("cast(NULL AS bigint) AS total"), [])
+    return reduce(DataFrame.unionByName, reports)
+
+
+def count_scans(
+    df: DataFrame,
+    rules: Iterable[Mapping[str, Any] | Rule],
+    checks_per_scan: int = CHECKS_PER_SCAN,
+    keys_per_scan: int = KEYS_PER_SCAN,
+) -> int:
+    """Scans of the data that a report takes. Lines that need no data, such as missing columns, take none."""
+    parts = _parts(df, rules, checks_per_scan, keys_per_scan)
+    return sum(any(name != "NULL" for name, _ in entries) for _, entries in parts)
+
+
+def _parts(df, rules, checks_per_scan, keys_per_scan) -> list[tuple[DataFrame, list[tuple[str, _Entry]]]]:
+    """Measured rows with the entries each one answers."""
+    if min(checks_per_scan, keys_per_scan) < 1:
+        raise ValueError("a scan takes one check and one key at least")
     settled: list[_Entry] = []
     by_row: list[_Entry] = []
     by_key: dict[str, list[_Entry]] = {}
     for rule_no, rule in enumerate(map(parse_rule, rules), start=1):
         kind = _rule_type(rule)
         for check in rule.checks(df) or [Check(None, status="pass")]:
+            check = _fitting(df, check)
             entry = _Entry(rule_no, rule.name, kind, check)
             if check.settled:
                 settled.append(entry)
@@ -312,17 +377,15 @@ def build_report(df: DataFrame, rules: Iterable[Mapping[str, Any] | Rule]) -> Da
     reports = []
     if settled:
         nothing = df.sparkSession.range(1).selectExpr("cast(NULL AS bigint) AS total")
-        reports.append(_lines(nothing, [("NULL", entry) for entry in settled]))
-    row_chunks, key_chunks = _chunks(by_row, _CHECKS_PER_PASS), _chunks(list(by_key), _KEYS_PER_PASS)
+        reports.append((nothing, [("NULL", entry) for entry in settled]))
+    row_chunks, key_chunks = _chunks(by_row, checks_per_scan), _chunks(list(by_key), keys_per_scan)
     for row_entries, keys in zip_longest(row_chunks, key_chunks, fillvalue=[]):
         conditions = {f"row{i}": entry.check.failing for i, entry in enumerate(row_entries)}
         unique = {f"key{i}": column for i, column in enumerate(keys)}
         entries = list(zip(conditions, row_entries, strict=True))
         entries += [(name, entry) for name, column in unique.items() for entry in by_key[column]]
-        reports.append(_lines(measure(df, conditions, unique), entries))
-    if not reports:
-        return _lines(df.sparkSession.range(0).selectExpr("cast(NULL AS bigint) AS total"), [])
-    return reduce(DataFrame.unionByName, reports)
+        reports.append((measure(df, conditions, unique), entries))
+    return reports
 
 
 def _lines(measured: DataFrame, entries: list[tuple[str, _Entry]]) -> DataFrame:
@@ -377,6 +440,7 @@ class Validation:
 
     lines: list[Row]
     total_rules: int
+    scans: int = 0
 
     @property
     def failures(self) -> list[dict[str, str]]:
@@ -405,17 +469,23 @@ class Validation:
         }
 
 
-def validate(df: DataFrame, rules: Iterable[Mapping[str, Any] | Rule]) -> Validation:
+def validate(
+    df: DataFrame,
+    rules: Iterable[Mapping[str, Any] | Rule],
+    checks_per_scan: int = CHECKS_PER_SCAN,
+    keys_per_scan: int = KEYS_PER_SCAN,
+) -> Validation:
     """Run the report, whatever the number of rules. Lines come in the order of rules and columns."""
     parsed = [parse_rule(rule) for rule in rules]
-    lines = build_report(df, parsed).collect() if parsed else []
+    limits = {"checks_per_scan": checks_per_scan, "keys_per_scan": keys_per_scan}
+    lines = build_report(df, parsed, **limits).collect() if parsed else []
     place = {
         (rule_no, column): position
         for rule_no, rule in enumerate(parsed, start=1)
         for position, column in enumerate(getattr(rule, "columns", ()))
     }
     lines.sort(key=lambda line: (line.rule_no, place.get((line.rule_no, line.column_name), 0)))
-    return Validation(lines, len(parsed))
+    return Validation(lines, len(parsed), count_scans(df, parsed, **limits) if parsed else 0)
 
 
 # ---------------------------------------------------------------------------------------------------
@@ -423,10 +493,22 @@ def validate(df: DataFrame, rules: Iterable[Mapping[str, Any] | Rule]) -> Valida
 
 
 def duplicate_examples(df: DataFrame, column: str, n: int = fixed.EXAMPLE_ROWS) -> DataFrame:
-    """The ``n`` most repeated values with their counts."""
-    counts = df.groupBy(col_named(column).alias(column)).agg(F.count(F.lit(1)).alias("count"))
-    repeated = counts.filter(F.col("count") > 1)
-    return repeated.orderBy(F.desc("count"), col_named(column).asc_nulls_last()).limit(n)
+    """The ``n`` most repeated values with their counts; equal counts are ordered by value, NULL last.
+
+    Text and binary values are counted by their digests, and equal counts are ordered by these; a second scan
+    fetches the values of the ``n`` digests found, by a join with these few rows.
+    """
+    wide = is_wide(df.schema[column].dataType)
+    values = df.select(col_named(column).alias("_value"))
+    keyed = values.withColumn("_key", digest(F.col("_value"))) if wide else values.withColumn("_key", F.col("_value"))
+    counts = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+    found = counts.orderBy(F.desc("_rows"), F.col("_key").asc_nulls_last()).limit(n)
+    if wide:
+        few = F.broadcast(found.withColumnRenamed("_key", "_found"))  # n rows
+        fetched = keyed.join(few, F.col("_key").eqNullSafe(F.col("_found"))).groupBy("_key", "_rows")
+        found = fetched.agg(F.any_value("_value").alias("_value")).orderBy(F.desc("_rows"), F.col("_key").asc_nulls_last())
+        return found.select(F.col("_value").alias(column), F.col("_rows").alias(count_name(column)))
+    return found.select(F.col("_key").alias(column), F.col("_rows").alias(count_name(column)))
 
 
 def not_matching_examples(

@@ -78,7 +78,10 @@ class RenameColumns:
             if old not in names:
                 notify(old, "column not found")
             names = [new if name == old else name for name in names]
-        if len(set(names)) < len(set(df.columns)):
+        # names that the session takes for one are one
+        exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+        before, after = ({n if exact else n.lower() for n in some} for some in (df.columns, names))
+        if len(after) < len(before):
             raise StepError(f"rename_columns would leave several columns of one name: {names}")
         return df.toDF(*names) if names != df.columns else df
 
@@ -183,7 +186,7 @@ class ExtractCity:
 
 @_step("parse_dates")
 class ParseDates:
-    """Text columns to dates by a fixed format; text that does not follow it becomes NULL."""
+    """Columns to dates: text by a fixed format, NULL where it does not follow it; of timestamps the day."""
 
     columns: Iterable[str] = ()
     format: str = fixed.DATE_FORMAT
@@ -192,7 +195,7 @@ class ParseDates:
         parsed = {}
         for column in self.columns:
             if column in df.columns:
-                parsed[column] = fn.parse_date(col_named(column), self.format)
+                parsed[column] = fn.parse_date(col_named(column), self.format, df.schema[column].dataType)
             else:
                 notify(column, "column not found")
         return _attempt(df, lambda: df.withColumns(parsed), None, notify)

@@ -1,11 +1,14 @@
 """The configured run: read, validate, gate, transform, write, count.
 
 Two passes over the source do all of it: one for the whole quality report, one for the write. (Schema
-inference, if asked for, is a third.) Analytics read the written output, not the source.
+inference, if asked for, is a third.) Everything is analysed before the first of them, so a configuration that
+does not fit fails at once, and nothing fails after the write. Analytics read the written output where its
+format keeps the rows exactly; for other formats they are computed from the source, and a note says so.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
@@ -20,8 +23,10 @@ from qualitypipe.operators.steps import StepNote, apply_steps
 from qualitypipe.sinks.files import FileSink, write_files
 from qualitypipe.sources.csv import read_csv
 
+_SCAN_LIMITS = ("checks_per_scan", "keys_per_scan")
 # Formats whose files carry the schema, so that reading them back gives the written rows exactly.
 _SELF_DESCRIBING = {"parquet", "orc"}
+_FROM_SOURCE = "computed from the source, one scan per answer: this format does not keep the rows exactly"
 
 
 class ValidationError(ValueError):
@@ -59,7 +64,7 @@ class IngestResult:
     raw: DataFrame
     output: DataFrame
     analytics: dict[str, DataFrame]
-    examples: dict[str, DataFrame]
+    examples: dict[tuple[int, str], DataFrame]
 
 
 def run_ingest(
@@ -71,16 +76,24 @@ def run_ingest(
     raw = read_csv(spark, config.ingestion)
 
     rules = [dq.parse_rule(rule) for rule in config.quality_checks.get("rules") or []]
-    validation = dq.validate(raw, rules)
+    limits = {key: config.quality_checks[key] for key in _SCAN_LIMITS if config.quality_checks.get(key)}
+    transformed = apply_steps(raw, config.transformation.get("transformations") or [], on_error)
+    sink = from_config(FileSink, config.output)
+    _check_names(transformed.frame)
+    _check_paths(spark, raw, sink.path)
+    _, analytics_notes = analyze(transformed.frame, config.analytics)
+
+    validation = dq.validate(raw, rules, **limits)
     if config.strict_validation and not validation.passed:
         raise ValidationError(validation)
     rows_read = validation.rows if validation.rows is not None else dq.measure(raw).first().total
+    examples = failure_examples(raw, rules, validation)
 
-    transformed = apply_steps(raw, config.transformation.get("transformations") or [], on_error)
-    sink = from_config(FileSink, config.output)
     rows_written = write_files(transformed.frame, sink.path, sink.format)
     output = read_back(spark, transformed.frame, sink)
-    analytics, analytics_notes = analyze(output, config.analytics)
+    analytics, _ = analyze(output, config.analytics)
+    if analytics and output is transformed.frame:
+        analytics_notes.append(StepNote(None, "analytics", sink.format, _FROM_SOURCE))
     return IngestResult(
         validation=validation,
         notes=transformed.notes + analytics_notes,
@@ -89,10 +102,32 @@ def run_ingest(
         raw=raw,
         output=output,
         analytics=analytics,
-        examples=failure_examples(raw, rules, validation),
+        examples=examples,
     )
 
 
+def _check_names(df: DataFrame) -> None:
+    """Columns that the session takes for one cannot be written."""
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    names = df.columns if exact else [name.lower() for name in df.columns]
+    repeated = sorted({name for name in names if names.count(name) > 1})
+    if repeated:
+        raise ValueError(f"output columns of one name: {', '.join(repeated)}")
+
+
+def _check_paths(spark: SparkSession, raw: DataFrame, output: str) -> None:
+    """The write replaces its path, so it may not hold what is read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(output)
+    qualified = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(path)
+    target = _plain(qualified.toUri().toString())
+    if any(_plain(name) == target or _plain(name).startswith(f"{target}/") for name in raw.inputFiles()):
+        raise ValueError(f"the output path {output} holds input files")
+
+
+def _plain(uri: str) -> str:
+    return re.sub(r"^(\w+):/+", r"\1:/", uri).rstrip("/")
+
+
 def read_back(spark: SparkSession, written: DataFrame, sink: FileSink) -> DataFrame:
     """The written rows; formats that would lose types or empty text keep the computed frame."""
     if sink.format.lower() in _SELF_DESCRIBING:
@@ -104,6 +139,8 @@ def analyze(df: DataFrame, config: Mapping[str, Any]) -> tuple[dict[str, DataFra
     """``group_counts`` and ``top_n`` as configured, both lazy; columns that do not exist are noted."""
     results = {}
     groupings = config.get("groupby_columns") or []
+    if isinstance(groupings, str):
+        raise ValueError("groupby_columns must be a list of names")
     top = from_config(TopN, config["top_n"]) if config.get("top_n") else None
     asked = [*groupings, *([top.column] if top else [])]
     missing = [column for column in dict.fromkeys(asked) if column not in df.columns]
@@ -117,8 +154,8 @@ def analyze(df: DataFrame, config: Mapping[str, Any]) -> tuple[dict[str, DataFra
 
 def failure_examples(
     df: DataFrame, rules: Iterable[dq.Rule], validation: dq.Validation
-) -> dict[str, DataFrame]:
-    """Lazy examples of offending values, keyed ``rule.column``, for failed unique and pattern rules."""
+) -> dict[tuple[int, str], DataFrame]:
+    """Lazy examples of offending values for failed unique and pattern rules, by number of the rule and column."""
     failed = {
         (line.rule_no, line.column_name)
         for line in validation.lines
@@ -129,9 +166,9 @@ def failure_examples(
         if isinstance(rule, dq.Unique):
             for column in rule.columns:
                 if (rule_no, column) in failed:
-                    examples[f"{rule.name}.{column}"] = dq.duplicate_examples(df, column)
+                    examples[rule_no, column] = dq.duplicate_examples(df, column)
         elif isinstance(rule, dq.RegexMatch) and (rule_no, rule.column) in failed:
-            examples[f"{rule.name}.{rule.column}"] = dq.not_matching_examples(
+            examples[rule_no, rule.column] = dq.not_matching_examples(
                 df, rule.column, rule.pattern
             )
     return examples

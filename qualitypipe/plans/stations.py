@@ -18,20 +18,20 @@ INGESTION: dict[str, Any] = {
 
 RULES: list[dict[str, Any]] = [
     {
-        "name": "check_required_fields",
+        "name": "identified_and_located",
         "type": "not_null",
         "columns": fixed.REQUIRED_STATION_COLUMNS,
         "threshold": fixed.REQUIRED_SHARE,
     },
-    {"name": "check_unique_id", "type": "unique", "columns": ["id_pdc_itinerance"]},
+    {"name": "one_line_per_point", "type": "unique", "columns": ["id_pdc_itinerance"]},
     {
-        "name": "check_date_format",
+        "name": "service_date_iso",
         "type": "regex_match",
         "column": "date_mise_en_service",
         "pattern": fixed.ISO_DATE_PATTERN,
     },
     {
-        "name": "check_power_range",
+        "name": "plausible_power",
         "type": "value_range",
         "column": "puissance_nominale",
         "min": fixed.POWER_RANGE[0],

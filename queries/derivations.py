@@ -169,3 +169,11 @@ def analytics_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 def analytics_group_counts_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["l_returnflag", "l_linestatus", "l_linenumber", "l_suppkey"]
     return group_counts(table(spark, sf_dir, "lineitem"), columns)
+
+
+@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders")
+def derive_parse_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timestamps and dates are no text: the day is kept, whatever the format."""
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "cast(o_orderdate AS timestamp) AS o_orderdate")
+    steps = [{"type": "parse_dates", "columns": ["o_orderdate"], "format": f} for f in ("dd/MM/yyyy", "yyyy-MM-dd")]
+    return apply_steps(orders, steps).frame

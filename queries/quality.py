@@ -123,7 +123,7 @@ def dq_unique_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     SELECT p_name, count(*) AS "count" FROM part GROUP BY 1 HAVING count(*) > 1
-    ORDER BY 2 DESC, 1 ASC NULLS LAST LIMIT 5"""
+    ORDER BY 2 DESC, sha256(p_name) ASC NULLS LAST LIMIT 5"""
 )
 def dq_duplicate_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_examples(table(spark, sf_dir, "part"), "p_name")
@@ -197,12 +197,12 @@ def dq_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _STATIONS_REPORT = _report(
     *(
-        _not_null(1, c, _STATIONS, name="check_required_fields", threshold="0.95")
+        _not_null(1, c, _STATIONS, name="identified_and_located", threshold="0.95")
         for c in ("id_pdc_itinerance", "nom_station", "adresse_station", "puissance_nominale")
     ),
-    _unique(2, "id_pdc_itinerance", _STATIONS, name="check_unique_id"),
-    _regex(3, "date_mise_en_service", _STATIONS, _ISO_DATE, name="check_date_format"),
-    _range(4, "puissance_nominale", _STATIONS, 0, 500, name="check_power_range"),
+    _unique(2, "id_pdc_itinerance", _STATIONS, name="one_line_per_point"),
+    _regex(3, "date_mise_en_service", _STATIONS, _ISO_DATE, name="service_date_iso"),
+    _range(4, "puissance_nominale", _STATIONS, 0, 500, name="plausible_power"),
 )
 
 
@@ -288,7 +288,20 @@ def dq_report_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     SELECT text, count(*) AS "count" FROM documents GROUP BY 1 HAVING count(*) > 1
-    ORDER BY 2 DESC, 1 ASC NULLS LAST LIMIT 5"""
+    ORDER BY 2 DESC, sha256(text) ASC NULLS LAST LIMIT 5"""
 )
 def dq_duplicate_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_examples(table(spark, sf_dir, "documents"), "text")
+
+
+@query(
+    """
+    SELECT CAST(1 AS INTEGER) AS rule_no, 'ordered' AS rule, 'sorted' AS rule_type, CAST(NULL AS VARCHAR) AS column_name,
+      'skipped' AS status, CAST(NULL AS BIGINT) AS failed, CAST(NULL AS BIGINT) AS total, CAST(NULL AS DOUBLE) AS ratio,
+      'Unknown validation rule type: sorted' AS details
+    UNION ALL """
+    + _unique(2, "o_orderkey", "orders")
+)
+def dq_unknown_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [{"name": "ordered", "type": "sorted", "column": "o_orderkey"}, {"type": "unique", "columns": ["o_orderkey"]}]
+    return build_report(table(spark, sf_dir, "orders"), rules)

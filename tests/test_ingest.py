@@ -14,49 +14,41 @@ from qualitypipe import (
 )
 from qualitypipe import fixed_values as fixed
 
-PEOPLE = """id,name,amount,date
-1,Ann,50,2023-01-01
-2,Bob,500,2023-01-02
-3,NULL,5000,2023-01-03
-3,Dan,-5,2023-01-04
+HARVEST = """plot,crop,kilos,picked,count
+A1,rye,812,2022-08-01,4
+A2,-,95,2022-08-03,2
+B7,oats,1430,03.08.2022,4
+B7,oats,-20,2022-08-09,1
+C3,rye,640,2022-08-11,4
 """
 
 
 @pytest.fixture
 def config(tmp_path):
-    source = tmp_path / "people.csv"
-    source.write_text(PEOPLE, encoding="utf-8")
+    source = tmp_path / "harvest.csv"
+    source.write_text(HARVEST, encoding="utf-8")
     return {
         "spark": {"master": "ignored"},
         "ingestion": {
             "input_path": str(source),
-            "header": "true",
-            "infer_schema": "true",
-            "delimiter": ",",
-            "mode": "PERMISSIVE",
-            "options": {"nullValue": "NULL", "dateFormat": "yyyy-MM-dd"},
+            "schema": "plot string, crop string, kilos int, picked string, count int",
+            "options": {"nullValue": "-"},
         },
         "quality_checks": {
             "rules": [
-                {"name": "required", "type": "not_null", "columns": ["id", "name", "date"], "threshold": 1.0},
-                {"name": "ids", "type": "unique", "columns": ["id"]},
-                {"name": "dates", "type": "regex_match", "column": "date", "pattern": fixed.ISO_DATE_PATTERN},
-                {"name": "amounts", "type": "value_range", "column": "amount", "min": 0, "max": 10000},
+                {"name": "crop_known", "type": "not_null", "columns": ["crop", "plot"], "threshold": 0.9},
+                {"name": "plots", "type": "unique", "columns": ["plot", "count"]},
+                {"type": "regex_match", "column": "picked", "pattern": "^2022-08"},
+                {"type": "regex_match", "column": "picked", "pattern": "1$"},
+                {"name": "weighed", "type": "value_range", "column": "kilos", "max": 2000},
             ]
         },
         "transformation": {
             "transformations": [
-                {"type": "rename_columns", "mapping": {"id": "record_id", "name": "full_name"}},
-                {"type": "cast_columns", "casts": {"amount": "double", "date": "date"}},
-                {
-                    "type": "add_columns",
-                    "columns": {
-                        "processed_date": "current_date()",
-                        "amount_category": "CASE WHEN amount < 100 THEN 'low' WHEN amount < 1000 "
-                        "THEN 'medium' ELSE 'high' END",
-                    },
-                },
-                {"type": "filter_rows", "condition": "amount > 0"},
+                {"type": "parse_dates", "columns": ["picked"]},
+                {"type": "add_columns", "columns": {"tonnes": "kilos / 1000", "big": "if(kilos >= 800, 'yes', 'no')"}},
+                {"type": "filter_rows", "condition": "kilos BETWEEN 0 AND 1400"},
+                {"type": "rename_columns", "mapping": {"plot": "field"}},
             ]
         },
         "output": {"path": str(tmp_path / "out"), "format": "parquet"},
@@ -66,52 +58,105 @@ def config(tmp_path):
 
 def test_generic_run(spark, config):
     result = run_ingest(spark, config)
-    assert (result.rows_read, result.rows_written) == (4, 3)
+    assert (result.rows_read, result.rows_written) == (5, 3)
     assert result.validation.as_dict() == {
         "passed": False,
-        "total_rules": 4,
+        "total_rules": 5,
         "passed_rules": 1,
         "failures": [
-            {
-                "rule": "required",
-                "details": "Column 'name' has 1 null values (25.00%), exceeding threshold",
-            },
-            {"rule": "ids", "details": "Column 'id' has 1 duplicate values"},
-            {"rule": "amounts", "details": "Column 'amount' has 1 values outside range [0, 10000]"},
+            {"rule": "crop_known", "details": "Column 'crop' has 1 null values (20.00%), exceeding threshold"},
+            {"rule": "plots", "details": "Column 'plot' has 1 duplicate values"},
+            {"rule": "plots", "details": "Column 'count' has 2 duplicate values"},
+            {"rule": "regex_match", "details": "Column 'picked' has 1 values not matching pattern '^2022-08'"},
+            {"rule": "regex_match", "details": "Column 'picked' has 3 values not matching pattern '1$'"},
         ],
     }
-    rows = spark.read.parquet(config["output"]["path"]).orderBy("record_id").collect()
-    assert [(r.record_id, r.full_name, r.amount, r.date, r.amount_category) for r in rows] == [
-        (1, "Ann", 50.0, date(2023, 1, 1), "low"),
-        (2, "Bob", 500.0, date(2023, 1, 2), "medium"),
-        (3, None, 5000.0, date(2023, 1, 3), "high"),
+    rows = spark.read.parquet(config["output"]["path"]).orderBy("field").collect()
+    assert [(r.field, r.crop, r.picked, r.tonnes, r.big) for r in rows] == [
+        ("A1", "rye", date(2022, 8, 1), 0.812, "yes"),
+        ("A2", None, date(2022, 8, 3), 0.095, "no"),
+        ("C3", "rye", date(2022, 8, 11), 0.64, "no"),
     ]
-    assert all(r.processed_date is not None for r in rows)
     assert result.output.count() == 3
     assert result.notes == []
     assert result.analytics == {}
-    assert [tuple(r) for r in result.examples["ids.id"].collect()] == [(3, 2)]
-    assert list(result.examples) == ["ids.id"]
+
+
+def test_examples_of_every_failed_rule(spark, config):
+    """Also of unnamed rules on one column, and of a column that is called like the counts."""
+    examples = run_ingest(spark, config).examples
+    assert list(examples) == [(2, "plot"), (2, "count"), (3, "picked"), (4, "picked")]
+    assert [tuple(r) for r in examples[2, "plot"].collect()] == [("B7", 2)]
+    assert [tuple(r) for r in examples[2, "count"].collect()] == [(4, 3)]
+    assert [r.picked for r in examples[3, "picked"].collect()] == ["03.08.2022"]
+    assert [r.picked for r in examples[4, "picked"].collect()] == ["03.08.2022", "2022-08-03", "2022-08-09"]
+
+
+def _jobs(spark, work):
+    """Jobs that run until the work ends, by an error if it is one."""
+    spark.sparkContext.setJobGroup("counted", "one run")
+    try:
+        work()
+    finally:
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("counted")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return jobs
+
+
+@pytest.mark.parametrize(
+    "broken",
+    [
+        {"transformation": {"transformations": [{"type": "select_columns", "columns": ["gone"]}]}},
+        {"transformation": {"transformations": [{"type": "rename_columns", "mapping": {"plot": "CROP"}}]}},
+        {"quality_checks": {"rules": [{"type": "regex_match", "column": "plot"}]}},
+        {"analytics": {"groupby_columns": "crop"}},
+    ],
+)
+def test_what_does_not_fit_fails_before_any_job(spark, config, tmp_path, broken):
+    def work():
+        with pytest.raises(ValueError):
+            run_ingest(spark, {**config, **broken})
+
+    before = set(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    assert set(_jobs(spark, work)) == before
+    assert not (tmp_path / "out").exists()
+
+
+@pytest.mark.parametrize("inside", ["", "/"])
+def test_the_input_is_not_overwritten(spark, config, tmp_path, inside):
+    source = config["ingestion"]["input_path"]
+    config["output"]["path"] = str(tmp_path) + inside if inside else source
+    with pytest.raises(ValueError, match="input files"):
+        run_ingest(spark, config)
+    assert open(source, encoding="utf-8").read() == HARVEST
+
+
+def test_limits_of_a_scan_come_from_the_configuration(spark, config):
+    config["quality_checks"]["checks_per_scan"] = 2
+    config["quality_checks"]["keys_per_scan"] = 1
+    result = run_ingest(spark, config)
+    assert result.validation.scans == 3
+    assert len(result.validation.failures) == 5
 
 
 def test_strict_run_stops_before_the_write(spark, config, tmp_path):
     with pytest.raises(ValidationError, match="strict mode") as raised:
         run_ingest(spark, {**config, "strict_validation": True})
-    assert len(raised.value.validation.failures) == 3
+    assert len(raised.value.validation.failures) == 5
     assert not (tmp_path / "out").exists()
 
 
 def test_strict_run_goes_on_when_all_rules_pass(spark, config):
-    rules = config["quality_checks"]["rules"][2:3]
+    rules = config["quality_checks"]["rules"][4:]
     passing = {**config, "quality_checks": {"rules": rules}, "strict_validation": True}
     assert run_ingest(spark, passing).rows_written == 3
 
 
 def test_only_a_source_is_needed(spark, config, tmp_path):
     result = run_ingest(spark, {"ingestion": config["ingestion"], "output": {"path": str(tmp_path / "o")}})
-    assert (result.rows_read, result.rows_written) == (4, 4)
+    assert (result.rows_read, result.rows_written) == (5, 5)
     assert result.validation.passed
-    assert spark.read.parquet(str(tmp_path / "o")).count() == 4
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 5
 
 
 def test_missing_path(spark):
@@ -122,7 +167,7 @@ def test_missing_path(spark):
 def test_notes_and_on_error(spark, config):
     config["transformation"] = {"transformations": [{"type": "filter_rows", "condition": "absent = 1"}]}
     result = run_ingest(spark, config)
-    assert result.rows_written == 4
+    assert result.rows_written == 5
     assert [(n.step_no, n.step) for n in result.notes] == [(1, "filter_rows")]
     with pytest.raises(ValueError, match="step 1"):
         run_ingest(spark, config, on_error="raise")
@@ -130,22 +175,22 @@ def test_notes_and_on_error(spark, config):
 
 @pytest.mark.parametrize("file_format", ["parquet", "orc", "csv", "json"])
 def test_analytics_are_the_same_for_every_format(spark, config, file_format):
-    config["transformation"]["transformations"][2]["columns"]["tag"] = "if(amount < 100, '', full_name)"
+    config["transformation"]["transformations"][1]["columns"]["tag"] = "if(kilos < 100, '', crop)"
     config["output"]["format"] = file_format
-    config["analytics"] = {"groupby_columns": ["tag", "amount_category"], "top_n": {"column": "tag", "n": 2}}
+    config["analytics"] = {"groupby_columns": ["tag", "big"], "top_n": {"column": "tag", "n": 1}}
     result = run_ingest(spark, config)
     counts = {(r.column_name, r.value): r["count"] for r in result.analytics["group_counts"].collect()}
-    assert counts == {
-        ("tag", ""): 1, ("tag", "Bob"): 1, ("tag", None): 1,
-        ("amount_category", "low"): 1, ("amount_category", "medium"): 1, ("amount_category", "high"): 1,
-    }
-    assert [tuple(r) for r in result.analytics["top_n"].collect()] == [("", 1), ("Bob", 1)]
+    assert counts == {("tag", ""): 1, ("tag", "rye"): 2, ("big", "yes"): 1, ("big", "no"): 2}
+    assert [tuple(r) for r in result.analytics["top_n"].collect()] == [("rye", 2)]
+    scanned = "harvest.csv" in "".join(result.analytics["top_n"].inputFiles())
+    noted = [n.target for n in result.notes if n.step == "analytics"]
+    assert (scanned, noted) == ((False, []) if file_format in ("parquet", "orc") else (True, [file_format]))
 
 
 def test_analytics_on_columns_that_do_not_exist_are_noted(spark, config):
-    config["analytics"] = {"groupby_columns": ["amount_category", "gone"], "top_n": {"column": "lost", "n": 3}}
+    config["analytics"] = {"groupby_columns": ["big", "gone"], "top_n": {"column": "lost", "n": 3}}
     result = run_ingest(spark, config)
-    assert result.analytics["group_counts"].count() == 3
+    assert result.analytics["group_counts"].count() == 2
     assert "top_n" not in result.analytics
     assert [(n.step, n.target) for n in result.notes] == [("analytics", "gone"), ("analytics", "lost")]
 
@@ -158,7 +203,7 @@ COLUMNS = [part.split()[0] for part in fixed.STATIONS_SCHEMA.split(",")]
 def _station(**cells):
     defaults = {c: "false" if c.startswith(("prise_", "paiement_")) else "x" for c in COLUMNS}
     defaults |= {"gratuit": "false", "reservation": "false", "station_deux_roues": "false", "nbre_pdc": "2"}
-    defaults |= {"date_mise_en_service": "2023-01-15", "date_maj": "2023-02-01"}
+    defaults |= {"date_mise_en_service": "2019-04-02", "date_maj": "2020-10-20"}
     return ",".join({**defaults, **cells}[c] for c in COLUMNS)
 
 
@@ -166,30 +211,30 @@ def _station(**cells):
 def stations_csv(tmp_path):
     rows = [
         _station(
-            id_pdc_itinerance="FR1",
-            nom_station="Viriat",
+            id_pdc_itinerance="X100",
+            nom_station="Quai",
             prise_type_combo_ccs="true",
             prise_type_2="true",
             puissance_nominale="150",
-            adresse_station="1 rue A 01440 Viriat",
-            coordonneesXY='"[5.21,46.25]"',
+            adresse_station="9 quai Nord 29200 Brest",
+            coordonneesXY='"[-4.5,48.4]"',
         ),
         _station(
-            id_pdc_itinerance="FR2",
+            id_pdc_itinerance="X200",
             nom_station="N/A",
             prise_type_2="true",
             puissance_nominale="49",
-            adresse_station="2 rue B 75001 Paris",
-            coordonneesXY='"[2.35,48.85]"',
-            date_mise_en_service="invalid-date",
+            adresse_station="4 allee Est 31000 Toulouse",
+            coordonneesXY='"[1.44,43.6]"',
+            date_mise_en_service="bientot",
         ),
         _station(
-            id_pdc_itinerance="FR2",
-            nom_station="Lyon",
+            id_pdc_itinerance="X200",
+            nom_station="Gare",
             prise_type_chademo="true",
             prise_type_ef="true",
-            puissance_nominale="100",
-            adresse_station="3 rue C 69000 Lyon",
+            puissance_nominale="149",
+            adresse_station="7 place Sud 80000 Amiens",
             coordonneesXY="N/A",
         ),
     ]
@@ -209,18 +254,18 @@ def test_stations_run(spark, stations_csv, tmp_path):
     assert dict(result.output.dtypes)["processed_timestamp"] == "timestamp"
     rows = {r.nom_station: r for r in result.output.collect()}
     taken = ["city", "longitude", "latitude", "power_category", "charging_type", "date_mise_en_service", "date_maj"]
-    update = date(2023, 2, 1)
+    update = date(2020, 10, 20)
     assert {name: tuple(r[c] for c in taken) for name, r in rows.items()} == {
-        "Viriat": ("Viriat", 5.21, 46.25, "High", "CCS", date(2023, 1, 15), update),
-        None: ("Paris", 2.35, 48.85, "Low", "Type 2", None, update),
-        "Lyon": ("Lyon", None, None, "Medium", "CHAdeMO", date(2023, 1, 15), update),
+        "Quai": ("Brest", -4.5, 48.4, "High", "CCS", date(2019, 4, 2), update),
+        None: ("Toulouse", 1.44, 43.6, "Low", "Type 2", None, update),
+        "Gare": ("Amiens", None, None, "Medium", "CHAdeMO", date(2019, 4, 2), update),
     }
     assert all(r.processed_timestamp is not None for r in rows.values())
     assert [f["rule"] for f in result.validation.failures] == [
-        "check_required_fields", "check_unique_id", "check_date_format",
+        "identified_and_located", "one_line_per_point", "service_date_iso",
     ]
-    assert [tuple(r) for r in result.analytics["top_n"].collect()] == [("Lyon", 1), ("Paris", 1), ("Viriat", 1)]
-    assert [r[0] for r in result.examples["check_date_format.date_mise_en_service"].collect()] == ["invalid-date"]
+    assert [tuple(r) for r in result.analytics["top_n"].collect()] == [("Amiens", 1), ("Brest", 1), ("Toulouse", 1)]
+    assert [r[0] for r in result.examples[3, "date_mise_en_service"].collect()] == ["bientot"]
 
 
 def test_stations_functions(spark, stations_csv):
@@ -245,18 +290,14 @@ def test_unquoted_coordinates_shift_the_row(spark, stations_csv, tmp_path):
     shifted = tmp_path / "shifted.csv"
     shifted.write_text(text, encoding="utf-8")
     result = run_ingest(spark, stations_config(str(shifted), str(tmp_path / "out")))
-    first = result.raw.filter("nom_station = 'Viriat'").first()
-    assert (first.coordonneesXY, first.nbre_pdc, first.date_maj) == ("[5.21", None, "2023-01-15")
+    first = result.raw.filter("nom_station = 'Quai'").first()
+    assert (first.coordonneesXY, first.nbre_pdc, first.date_maj) == ("[-4.5", None, "2019-04-02")
     assert result.rows_written == 3
 
 
 def test_a_run_takes_few_jobs(spark, stations_csv, tmp_path):
     """Report and write, plus what adaptive execution splits off at the report's shuffles."""
     config = stations_config(stations_csv, str(tmp_path / "out"))
-    spark.sparkContext.setJobGroup("counted", "one run")
-    try:
-        run_ingest(spark, config)
-        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("counted")
-    finally:
-        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    before = set(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    jobs = set(_jobs(spark, lambda: run_ingest(spark, config))) - before
     assert 2 <= len(jobs) <= 4

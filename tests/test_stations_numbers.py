@@ -70,16 +70,16 @@ def test_profile(spark):
 
 def test_report(spark):
     lines = {(r.rule, r.column_name): r for r in QUERIES["dq_report"](spark, SF_DIR).collect()}
-    found = {column: (line.status, line.failed) for (rule, column), line in lines.items() if "required" in rule}
+    found = {column: (line.status, line.failed) for (rule, column), line in lines.items() if rule == "identified_and_located"}
     assert found == {
         "id_pdc_itinerance": ("pass", 0),
         "nom_station": ("pass", 0),
         "adresse_station": ("pass", 30),
         "puissance_nominale": ("pass", 38),
     }
-    assert lines["check_unique_id", "id_pdc_itinerance"].failed == 15
-    assert lines["check_date_format", "date_mise_en_service"].failed == 50
-    assert lines["check_power_range", "puissance_nominale"].failed == 126
+    assert lines["one_line_per_point", "id_pdc_itinerance"].failed == 15
+    assert lines["service_date_iso", "date_mise_en_service"].failed == 50
+    assert lines["plausible_power", "puissance_nominale"].failed == 126
 
 
 def test_top_customers(spark):
