@@ -180,7 +180,7 @@ _ORDER_RULES = [
     {"name": "one_line_each", "type": "unique", "columns": ["o_orderkey", "o_custkey"]},
     {"name": "urgency", "type": "regex_match", "column": "o_orderpriority", "pattern": "^[1-3]-"},
     {"type": "regex_match", "column": "o_orderpriority", "pattern": "[A-Z]$"},
-    {"name": "price_band", "type": "value_range", "column": "o_totalprice", "min": 1000, "max": 450000},
+    {"name": "price_band", "type": "value_range", "column": "o_totalprice", "min": 0, "max": 1000000},
 ]
 
 _ORDER_STEPS = [
