@@ -131,16 +131,32 @@ def bit_counts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(zeros, 1), np.concatenate(ones, 1)
 
 
+def _in_parts(kind: type):
+    """Applies to a few thousand rows at a time, which bounds the memory beside the result."""
+
+    def decorate(function):
+        def apply(rows: np.ndarray) -> np.ndarray:
+            parts = [function(rows[at : at + 2048].astype(float)).astype(kind) for at in range(0, max(len(rows), 1), 2048)]
+            return np.concatenate(parts)
+
+        return apply
+
+    return decorate
+
+
+@_in_parts(np.float64)
 def log_estimate(counts: np.ndarray) -> np.ndarray:
     a, b = bit_counts(counts)
     return log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1.0) - np.log(np.pi)
 
 
+@_in_parts(np.float32)
 def chance_of_one(counts: np.ndarray) -> np.ndarray:
     a, b = bit_counts(counts)
     return (b + 0.5) / (a + b + 1.0)
 
 
+@_in_parts(np.float32)
 def byte_logs(one: np.ndarray) -> np.ndarray:
     """log10 of all 256 bytes from the chances of a one in each decision."""
     out = np.zeros((len(one), 1))
@@ -149,7 +165,7 @@ def byte_logs(one: np.ndarray) -> np.ndarray:
         p = one[:, at : at + (1 << bits)]
         out = (out[:, :, None] + np.log10(np.stack([1 - p, p], axis=2))).reshape(len(one), 2 << bits)
         at += 1 << bits
-    return out.astype(np.float32)
+    return out
 
 
 def build(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Tree:
@@ -165,17 +181,17 @@ def build(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Tree:
         return Tree(np.full((1, 256), 1, np.int32), np.full((1, 256), -np.log10(256), np.float32))
     depth = max(d for d in range(len(contexts)) if len(contexts[d]))
     # from the leaves up: log of weighted probabilities, and the weight of each node's own estimate
-    own_weight: list[np.ndarray] = [np.ones(0)] * (depth + 1)
+    own_weight: list[np.ndarray] = [np.ones(0, np.float32)] * (depth + 1)
     parents, rest = [np.zeros(0, np.int64)] * (depth + 1), [np.zeros(0)] * (depth + 1)
     below = np.zeros(0)
     for d in range(depth, -1, -1):
         estimate = log_estimate(counts[d])
         weighted = estimate.copy()
-        own = np.ones(estimate.shape)
+        own = np.ones(estimate.shape, np.float32)
         if d < depth:
             up = np.searchsorted(contexts[d], contexts[d + 1] & ((1 << 8 * d) - 1))
             parents[d + 1] = up
-            inside = np.zeros(counts[d].shape)
+            inside = np.zeros(counts[d].shape, counts[d].dtype)
             np.add.at(inside, up, counts[d + 1])
             rest[d] = np.maximum(counts[d] - inside, 0)
             product = np.zeros(estimate.shape)
@@ -186,9 +202,10 @@ def build(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Tree:
             both = np.logaddexp(estimate[some], product[some])
             weighted[some] = both - np.log(2)
             own[some] = np.exp(estimate[some] - both)
+            del inside, product, both
         own_weight[d], below = own, weighted
     # from the root down: what is decided so far, and the weight that is left
-    mixed, left = np.zeros((1, 255)), np.ones((1, 255))
+    mixed, left = np.zeros((1, 255), np.float32), np.ones((1, 255), np.float32)
     inner = [np.isin(np.arange(len(contexts[d])), parents[d + 1]) if d < depth else np.zeros(len(contexts[d]), bool) for d in range(depth + 1)]
     n_inner = sum(int(i.sum()) for i in inner)
     children = np.zeros((max(n_inner, 1), 256), dtype=np.int32)
@@ -241,18 +258,21 @@ def score_block(tree: Tree, block: Block, two: np.ndarray) -> np.ndarray:
 def grow(train: DataFrame, share: int = SHARE) -> Tree:
     """Counts (context, byte) at every depth by shuffles, and builds the tree from the frequent contexts."""
     raw = train.select(F.col("text").cast("binary").alias("_text")).mapInArrow(count_contexts, "code long, n long")
-    deepest = written(raw.groupBy("code").agg(F.sum("n").alias("n")), "context-counts")
-    total = deepest.agg(F.sum("n")).first()[0] or 0
+    counts = written(raw.groupBy("code").agg(F.sum("n").alias("n")), "context-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
     levels = []
-    for d in range(DEPTH + 1):
+    for d in range(DEPTH, -1, -1):
         # the byte is the lowest of the code, the nearest context byte the next one
-        byte, context = F.col("code").bitwiseAND(255), F.shiftright("code", 8).bitwiseAND((1 << 8 * d) - 1)
-        pairs = deepest.groupBy(context.alias("context"), byte.alias("byte")).agg(F.sum("n").alias("n"))
-        vectors = pairs.groupBy("context").agg(F.collect_list(F.struct("byte", "n")).alias("next"), F.sum("n").alias("all"))
-        # at most share contexts have so many bytes, each with at most 256 next ones
-        frequent = vectors.filter(F.col("all") * share >= total).select("context", F.inline("next")).toArrow()
-        levels.append(tuple(frequent.column(c).to_numpy().astype(np.int64) for c in ("context", "byte", "n")))
-    return build(levels)
+        if d < DEPTH:
+            counts = counts.groupBy(F.col("code").bitwiseAND((1 << 8 * (d + 1)) - 1).alias("code")).agg(F.sum("n").alias("n"))
+            counts = written(counts, "context-counts")
+        context = F.shiftright("code", 8)
+        often = counts.groupBy(context.alias("context")).agg(F.sum("n").alias("all")).filter(F.col("all") * share >= total)
+        # at most ``share`` contexts have so many bytes, each with at most 256 next ones
+        next_ones = counts.join(F.broadcast(often.select("context")), context == F.col("context"))
+        found = next_ones.select("context", F.col("code").bitwiseAND(255).alias("byte"), "n").toArrow()
+        levels.append(tuple(found.column(c).to_numpy().astype(np.int64) for c in ("context", "byte", "n")))
+    return build(levels[::-1])
 
 
 def score(docs: DataFrame, train: Column, keep: list[str], share: int = SHARE) -> DataFrame:
@@ -270,7 +290,7 @@ def score(docs: DataFrame, train: Column, keep: list[str], share: int = SHARE) -
     known = {token: float(np.log10(n + 0.1)) - base for token, n in top.items()}
     end = float(np.log10(n_docs + 0.1)) - base
     columns = docs.select(*keep).schema
-    schema = columns.add("_row", "string").add("n_tokens", "long").add("_known", "long").add("_base", "double").add("score", "double")
+    schema = columns.add("_row", "long").add("n_tokens", "long").add("_known", "long").add("_base", "double").add("score", "double")
     schema = schema.add("_others", T.ArrayType(T.BinaryType()))
 
     def first_pass(batches):
@@ -291,7 +311,7 @@ def score(docs: DataFrame, train: Column, keep: list[str], share: int = SHARE) -
             arrays += [pa.array(number, pa.int64()), pa.array(found, pa.int64()), pa.array(base_sum, pa.float64()), pa.array(logs)]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(others, pa.list_(pa.binary()))], names=schema.names)
 
-    source = docs.select(*keep, F.expr("uuid()").alias("_row"), F.col("text").cast("binary").alias("_text"))
+    source = docs.select(*keep, F.monotonically_increasing_id().alias("_row"), F.col("text").cast("binary").alias("_text"))
     scored = written(source.mapInArrow(first_pass, schema), "first-pass")
     rare = scored.select("_row", F.explode("_others").alias("token")).groupBy("_row", "token").agg(F.count("*").alias("k"))
     chance = F.log10(F.coalesce("n", F.lit(0)) + 0.1) - base
