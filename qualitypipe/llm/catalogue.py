@@ -43,6 +43,28 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op1_near_dedup"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM split) AS every),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM shingles AS a JOIN shingles AS b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM shared JOIN sizes AS p ON p.doc_id = x JOIN sizes AS q ON q.doc_id = y WHERE 100 * k >= 75 * (p.n + q.n - k)),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS root FROM documents
+  UNION SELECT y, root FROM reach JOIN edges ON x = doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) AS found LEFT JOIN sizes USING (doc_id)
+"""
+
+
 @query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -70,10 +92,21 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
 
 
+#: The given pages keep their text in one article element; this says what must come out of them.
+ORACLES["op5_html_text"] = r"""
+SELECT page_id, url, text, length(text) AS n_chars FROM (
+  SELECT page_id, url, array_to_string(list_filter(list_transform(
+    regexp_split_to_array(regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?b>', '', 'g'), '</?(p|h1)>'),
+    lambda b: trim(regexp_replace(replace(replace(replace(replace(replace(replace(b, '<br>', ' '), '&lt;', '<'), '&gt;', '>'),
+      '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'))), lambda b: b <> ''), chr(10)) AS text
+  FROM pages) AS extracted
+"""
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.fit(labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic", fold("doc_id", 4) != 2, per_class=2000))
+    model = toxicity.fit(labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic", fold("doc_id", 4) != 2, per_class=1800))
     scored = toxicity.score(docs, model, ["doc_id"])
     predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
     return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", predicted, "n_spans")

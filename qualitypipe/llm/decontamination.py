@@ -133,4 +133,4 @@ def _runs(words: Column, size: int) -> Column:
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` without the documents that hold an item."""
     ids = written(contained(docs, items, key).select(F.col(key).alias("_held")).distinct(), "contaminated")
-    return docs.join(_few(ids, FEW_DOCUMENTS), F.col(key).eqNullSafe(F.col("_held")), "left_anti")
+    return docs.join(_few(ids, FEW_DOCUMENTS), docs[key].eqNullSafe(ids["_held"]), "left_anti")

@@ -73,14 +73,18 @@ def mix(
     by_source = written(rates(docs, weights, epochs, source), "source-rates")
     few = by_source.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES
     by_source = F.broadcast(by_source) if few else by_source
-    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    # numbers instead of names, so that no column can be taken for one of those joined
+    columns = [f"_{i}" for i in range(len(docs.columns))]
+    key_column, source_column = (columns[docs.columns.index(c)] for c in (key, source))
+    name = F.coalesce(F.col(key_column).cast("string"), F.lit(""))
     chances = F.transform(F.sequence(F.lit(1), F.col("_draws")), lambda j: chance(str(seed), "draw", name, j.cast("string")))
     drawn = F.aggregate("_chances", F.lit(0), lambda a, u: a + F.size(F.filter("_below", lambda p: p <= u)))
-    joined = docs.join(by_source, F.col(source).eqNullSafe(F.col("_source")), "left").withColumn("_chances", chances)
-    counted = joined.select(*[F.col(c) for c in docs.columns], drawn.alias("_times")).filter("_times > 0")
-    copies = counted.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("copy_no"))
+    joined = docs.toDF(*columns).join(by_source, F.col(source_column).eqNullSafe(F.col("_source")), "left")
+    counted = joined.withColumn("_chances", chances).select(*columns, drawn.alias("_times")).filter("_times > 0")
+    copies = counted.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("copy_no"))
     order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("order"), name, F.col("copy_no").cast("string")))
-    return copies.withColumn("shuffle_key", order).orderBy("shuffle_key", "copy_no")
+    ordered = copies.withColumn("shuffle_key", order).orderBy("shuffle_key", "copy_no")
+    return ordered.toDF(*docs.columns, "copy_no", "shuffle_key")
 
 
 def oracle_sql(columns: str, seed: int = 1) -> str:

@@ -14,7 +14,7 @@ needs_tables = pytest.mark.skipif(not SF.exists(), reason="needs the given table
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns that clash with what operators add or use inside.
-CLASHING = ["score", "_text", "n", "id", "band", "words", "label", "_row"]
+CLASHING = ["score", "_text", "n", "id", "band", "words", "label", "_row", "_held", "_dropped", "_source", "_0"]
 
 
 def words(text: str | None) -> list[str]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from qualitypipe.llm import language_id, quality_classifier, toxicity, url_filter
 from qualitypipe.llm.shared import blocks_of, fold, labelled_sample, sample_by_class
-from tests.llm.common import SF_LARGER, clashing, documents, needs_tables
+from tests.llm.common import SF_LARGER, clashing, documents, needs_tables, prose
 
 ODD = {1: None, 2: "", 3: "123 !!", 4: "the the the", 5: "word " * 40_000, 6: "the the the"}
 
@@ -63,7 +63,9 @@ def test_codewords_are_apart():
 
 
 def test_toxic_spans_and_edges(spark):
-    model = toxicity.fit([(t, int("idiot" in t)) for t in trained_texts().values()] * 4)
+    words = prose(4, 400)
+    rows = [(" ".join([words[i], *(["idiot"] if i % 2 else []), words[i + 1], words[-i - 1], words[-i - 2]]), i % 2) for i in range(200)]
+    model = toxicity.fit(rows)
     texts = ODD | {7: "Ä quiet idiot, sentence"}
     found = {r.doc_id: r for r in toxicity.score(clashing(documents(spark, texts)), model, ["doc_id"]).collect()}
     assert len(found) == 7 and all(0 <= r.score <= 1 for r in found.values())

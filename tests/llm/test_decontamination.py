@@ -20,12 +20,14 @@ def brute_force(docs, items):
     out = {}
     for d, text in docs:
         w = words(text)
+        whole = {tuple(w[k : k + n]) for n in (1, 2, 3, 4, 5) for k in range(len(w) - n + 1)}
         for i, item in items:
             want = words(item)
             if not want or not w:
                 continue
-            wanted, names = runs(want), None
-            best = 0.0
+            wanted, best = runs(want), 0.0
+            if not whole & wanted.keys():
+                continue
             for s in range(max(1, len(w) - len(want) + 1)):
                 have = runs(w[s : s + len(want)])
                 names = have.keys() | wanted.keys()
