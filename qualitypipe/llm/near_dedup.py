@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +32,7 @@ REGISTERS, BAND = 128, 4
 BANDS = REGISTERS // BAND
 MANTISSA = 10
 ESTIMATE = 0.55
-#: Buckets with more components than this are joined by shingles instead of pair by pair.
+#: Buckets of several components with more members than this are joined by shingles instead of pair by pair.
 FEW_COMPONENTS = 48
 #: Beyond so many ids (8 bytes each), documents are joined by shuffle rather than with a table sent to all tasks.
 FEW_IDS = 1_000_000
@@ -91,7 +91,7 @@ def sketch(batches):
         keys = [set_key(s) for s in sets]
         columns = [block.rows.column("id"), pa.array([len(s) for s in sets], pa.int64())]
         columns += [pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)]
-        columns.append(pa.array([registers(s).tobytes() if len(s) else None for s in sets], pa.binary()))
+        columns.append(pa.array([registers(s).view(np.int16) if len(s) else None for s in sets], pa.list_(pa.int16())))
         yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "key_a", "key_b", "registers"])
 
 
@@ -101,39 +101,29 @@ def banded(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        packed = np.frombuffer(b"".join(batch.column("registers").to_pylist()), dtype=np.uint64).reshape(-1, BANDS)
+        packed = batch.column("registers").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, BANDS)
         keys = (packed ^ number) * np.uint64(0x9E3779B97F4A7C15 | 1)
         ids = np.repeat(batch.column("id").to_numpy(zero_copy_only=False), BANDS)
         yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)], names=["band", "id"])
 
 
-def estimated(agree: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Jaccard similarity from the share of equal registers, less the expected share of accidental ones."""
-    ratio = 4.0 * n * m / np.maximum((n + m) ** 2, 1.0)
+def estimated(agree, n, m):
+    """Jaccard similarity from the number of equal registers, less the expected share of accidental ones; columns or numbers."""
+    ratio = 4.0 * n * m / ((n + m) * (n + m))
     accidental = 0.169919487159739 * 2.0**-MANTISSA * ratio
     return (agree / REGISTERS - accidental) / (1 - accidental)
 
 
-@F.pandas_udf(T.DoubleType())
-def estimate(a, b, n, m):
-    import pandas as pd
+def estimate(x: str, y: str, n: str, m: str) -> Column:
+    """``estimated`` of two columns of registers and of set sizes."""
+    agree = F.size(F.filter(F.zip_with(x, y, lambda a, b: a == b), lambda same: same))
+    return estimated(agree, F.col(n).cast("double"), F.col(m).cast("double"))
 
-    x = np.frombuffer(b"".join(a), dtype=np.uint16).reshape(-1, REGISTERS)
-    y = np.frombuffer(b"".join(b), dtype=np.uint16).reshape(-1, REGISTERS)
-    return pd.Series(estimated((x == y).sum(1), n.to_numpy(dtype=float), m.to_numpy(dtype=float)))
 
-
-@F.pandas_udf(T.BooleanType())
-def similar(a, b):
-    """Whether two sorted sets share enough."""
-    import pandas as pd
-
-    out = []
-    for x, y in zip(a, b, strict=True):
-        x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-        shared = len(np.intersect1d(x, y, assume_unique=True))
-        out.append(OF * shared >= NEED * (len(x) + len(y) - shared))
-    return pd.Series(out)
+def similar(a: str, b: str) -> Column:
+    """Whether two columns of distinct shingles share enough."""
+    shared = F.size(F.array_intersect(a, b))
+    return OF * shared >= NEED * (F.size(a) + F.size(b) - shared)
 
 
 def _with_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -141,14 +131,14 @@ def _with_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     def sets(batches):
         for block in blocks(batches, "_text"):
-            found = [s.tobytes() for s in shingle_sets(block)]
-            yield pa.RecordBatch.from_arrays([block.rows.column("id"), pa.array(found, pa.binary())], names=["id", "found"])
+            found = [s.view(np.int64) for s in shingle_sets(block)]
+            yield pa.RecordBatch.from_arrays([block.rows.column("id"), pa.array(found, pa.list_(pa.int64()))], names=["id", "found"])
 
     wanted = ids.withColumnRenamed("id", "_id")
     if wanted.limit(FEW_IDS + 1).count() <= FEW_IDS:
         wanted = F.broadcast(wanted)
     chosen = docs.join(wanted, F.col("id") == F.col("_id"), "left_semi")
-    return chosen.mapInArrow(sets, T.StructType([docs.schema["id"], T.StructField("found", T.BinaryType())]))
+    return chosen.mapInArrow(sets, T.StructType([docs.schema["id"], T.StructField("found", T.ArrayType(T.LongType()))]))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
@@ -207,14 +197,7 @@ def prefixes(sets: DataFrame) -> DataFrame:
 
 def _by_shingles(docs: DataFrame, ids: DataFrame, roots: DataFrame) -> DataFrame:
     """All pairs across components of the given documents that share a shingle of their prefixes."""
-    raw = _with_sets(docs, ids)
-
-    def unpacked(batches):
-        for batch in batches:
-            tokens = [np.frombuffer(s, dtype=np.int64) for s in batch.column("found").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(tokens, pa.list_(pa.int64()))], names=["id", "tokens"])
-
-    sets = raw.mapInArrow(unpacked, T.StructType([raw.schema["id"], T.StructField("tokens", T.ArrayType(T.LongType()))]))
+    sets = _with_sets(docs, ids).withColumnRenamed("found", "tokens")
     kept = written(_labelled(prefixes(written(sets, "dense-sets")), roots, "id", "root"), "dense-prefixes")
     mixed = kept.groupBy("token").agg((F.min("root") < F.max("root")).alias("mixed")).filter("mixed").select("token")
     kept = kept.join(mixed, "token", "left_semi")
@@ -226,7 +209,7 @@ def _by_shingles(docs: DataFrame, ids: DataFrame, roots: DataFrame) -> DataFrame
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row of ``docs``."""
     texts = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("_text"))
-    schema = T.StructType([texts.schema["id"], *(T.StructField(c, T.LongType()) for c in ("n", "key_a", "key_b")), T.StructField("registers", T.BinaryType())])
+    schema = T.StructType([texts.schema["id"], *(T.StructField(c, T.LongType()) for c in ("n", "key_a", "key_b")), T.StructField("registers", T.ArrayType(T.ShortType()))])
     every = written(texts.mapInArrow(sketch, schema), "sketches")
     linked = every.filter("n > 0 and id is not null")
     first = F.min_by(F.struct("n", "registers"), "id").alias("s")
@@ -247,7 +230,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     others = _across(near.select("a", "b").join(best, ["a", "b"], "left_anti"), roots)
     placed = written(_labelled(members.select("band", "id"), roots, "id", "root"), "placed")
     spread = placed.groupBy("band").agg(F.count_distinct("root").alias("roots"), F.count("*").alias("size")).filter("roots > 1")
-    # with few components and members the pairs are at most FEW_COMPONENTS for each member
+    # pairs of a small bucket are at most FEW_COMPONENTS for each member
     few = F.col("size") <= FEW_COMPONENTS
     mixed = placed.join(spread, "band")
     small, dense = mixed.filter(few), mixed.filter(~few)
@@ -275,12 +258,11 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 def deduplicated(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` with one document of each group; of rows that repeat an id, one."""
     dropped = written(groups(docs, key).filter("not kept").select(F.col(key).alias("_dropped")).distinct(), "dropped")
-    if dropped.limit(FEW_IDS + 1).count() <= FEW_IDS:
-        dropped = F.broadcast(dropped)
-    kept = docs.join(dropped, F.col(key) == F.col("_dropped"), "left_anti")
+    few = dropped.limit(FEW_IDS + 1).count() <= FEW_IDS
+    kept = docs.join(F.broadcast(dropped) if few else dropped, docs[key] == dropped["_dropped"], "left_anti")
     repeated = docs.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").select(F.col(key).alias("_again"))
     if not repeated.limit(1).count():
         return kept
     repeated = written(repeated, "repeated")
-    once = kept.join(repeated, F.col(key) == F.col("_again"), "left_semi").dropDuplicates([key])
-    return kept.join(repeated, F.col(key) == F.col("_again"), "left_anti").unionByName(once)
+    once = kept.join(repeated, kept[key] == repeated["_again"], "left_semi").dropDuplicates([key])
+    return kept.join(repeated, kept[key] == repeated["_again"], "left_anti").unionByName(once)

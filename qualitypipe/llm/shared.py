@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text a task turns into arrays at a time; a longer document is a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 #: Every byte that separates words.
 _SPACES = np.zeros(256, dtype=bool)
@@ -71,7 +71,9 @@ def sample_by_class(rows: DataFrame, label: str, per_class: int, max_classes: in
     for value, size in sizes:
         share = min(1.0, 1.2 * per_class / size)
         limit = F.when(F.col(label).eqNullSafe(F.lit(value)), F.lit(int(share * (1 << 30)) + 1)).otherwise(limit)
-    return rows.filter(F.col("_draw") < limit).orderBy("_draw", *rows.columns[:-1]).limit(2 * per_class * len(sizes))
+    # copies of a row draw alike, and count once
+    drawn = rows.filter(F.col("_draw") < limit).distinct()
+    return drawn.orderBy("_draw", *rows.columns[:-1]).limit(2 * per_class * len(sizes))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, per_class: int) -> list[tuple]:
