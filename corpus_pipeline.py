@@ -15,7 +15,7 @@ from qualitypipe.llm import decontamination, language_id, mixing, near_dedup, to
 from qualitypipe.llm.shared import fold, labelled_sample, table, written
 
 #: A language is rejected only if the score is next to a guess, a document as toxic only from here on.
-LEAST_LANGUAGE_SCORE, LEAST_TOXIC_SCORE = 0.3, 0.5
+LEAST_LANGUAGE_SCORE, LEAST_TOXIC_SCORE = 0.3, 0.3
 
 
 def _filtered(docs: DataFrame, judge: Callable[[DataFrame, list[str], str], DataFrame], condition: str) -> DataFrame:
@@ -36,7 +36,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go."""
     labels = table(spark, sf_dir, "labels")
-    model = toxicity.fit(labelled_sample(docs, labels, "toxic", fold("doc_id", 4) != 2, per_class=2000))
+    model = toxicity.fit(labelled_sample(docs, labels, "toxic", fold("doc_id", 4) != 2, per_class=1800))
     judge = lambda rows, keep, text: toxicity.score(rows, model, keep, text)
     return _filtered(docs, judge, f"score < {LEAST_TOXIC_SCORE}")
 

@@ -85,7 +85,10 @@ def fit(rows: list[tuple[str, str]], steps: int = 120) -> LanguageModel:
     if not languages:
         return LanguageModel([], np.zeros((0, 0)), np.zeros((DIMENSIONS + 1, 0)), np.zeros(0))
     codes = codewords(len(languages))
-    x = np.concatenate([features(b) for b in blocks_of([text for text, _ in rows])])
+    x, at = np.empty((len(rows), DIMENSIONS), dtype=np.float32), 0
+    for block in blocks_of([text for text, _ in rows]):
+        x[at : at + block.size] = features(block)
+        at += block.size
     which = np.array([languages.index(language) for _, language in rows])
     target = codes[which]
     share = (1.0 / np.bincount(which, minlength=len(languages)))[which, None].astype(np.float32)
@@ -113,7 +116,7 @@ def decode(model: LanguageModel, x: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return best, p[np.arange(len(x)), best], lead
 
 
-def train(docs: DataFrame, keep: Column, per_language: int = 500) -> LanguageModel:
+def train(docs: DataFrame, keep: Column, per_language: int = 400) -> LanguageModel:
     """Fits on at most ``2 * per_language`` documents for each language, from rows where ``keep`` holds."""
     rows = docs.filter(keep).select("text", "lang").filter("text is not null and lang is not null")
     return fit([(r.text, r.lang) for r in sample_by_class(rows, "lang", per_language).collect()])

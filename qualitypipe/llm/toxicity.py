@@ -155,8 +155,8 @@ def marginals(emission: np.ndarray, lengths: np.ndarray, steps: np.ndarray, star
     return (found, expected, opened) if pairs else found
 
 
-def marked_slots(slots: np.ndarray, pairs: np.ndarray, toxic: np.ndarray, least_count: int, least_score: float = 3.0) -> np.ndarray:
-    """Slots of features that tell toxic documents; ``pairs`` is a hash of each token and the one before it.
+def marked_types(slot: np.ndarray, which: np.ndarray, pairs: np.ndarray, toxic: np.ndarray, least_count: int, least_score: float = 3.7) -> np.ndarray:
+    """Whether a token, by its type, has a feature that tells toxic documents; ``pairs`` is a hash of each token and the one before it.
 
     A feature counts once for each word it follows, so that copies of a document count once.
     """
@@ -164,12 +164,31 @@ def marked_slots(slots: np.ndarray, pairs: np.ndarray, toxic: np.ndarray, least_
     for label in (False, True):
         here = np.flatnonzero(toxic == label)
         _, first = np.unique(pairs[here], return_index=True)
-        counts.append((np.bincount(slots[here[first], 1:].ravel(), minlength=SLOTS), len(first)))
+        by_type = np.bincount(which[here[first]], minlength=len(slot))
+        counts.append((sum(np.bincount(slot[:, k], weights=by_type, minlength=SLOTS) for k in range(1, FEATURES)), len(first)))
     (clean, n_clean), (found, n_found) = counts
     odds = np.log((found + 0.5) / (n_found + 1)) - np.log((clean + 0.5) / (n_clean + 1))
     marked = (found >= least_count) & (odds >= least_score)
     marked[0] = False
-    return marked
+    return marked[slot].any(1)
+
+
+def _types(rows: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens per document, type of each token, a hash of each token with the one before it, and the slots of each type."""
+    lengths, hashes, known, known_slots = [], [], [], []
+    for block in blocks_of([text for text, _ in rows]):
+        n, _, _, found, slots = token_slots(block)
+        names, first = np.unique(found, return_index=True)
+        lengths.append(n)
+        hashes.append(found)
+        known.append(names)
+        known_slots.append(slots[first])
+    lengths, hashes = np.concatenate(lengths), np.concatenate(hashes)
+    names, first = np.unique(np.concatenate(known), return_index=True)
+    slot = np.concatenate(known_slots)[first]
+    pairs = hashes * np.uint64(3)
+    pairs[1:] += hashes[:-1]
+    return lengths, np.searchsorted(names, hashes).astype(np.int32), mix(pairs), slot
 
 
 def fit(rows: list[tuple[str, int]], rounds: int = 20) -> ToxicityModel:
@@ -177,16 +196,12 @@ def fit(rows: list[tuple[str, int]], rounds: int = 20) -> ToxicityModel:
     y = np.array([float(label == 1) for _, label in rows])
     if len(set(y)) < 2:
         return ToxicityModel(float(y.mean()) if len(y) else 0.0)
-    parts = [token_slots(block) for block in blocks_of([text for text, _ in rows])]
-    lengths, hashes, slots = (np.concatenate([part[k] for part in parts]) for k in (0, 3, 4))
+    lengths, which, pairs, slot = _types(rows)
     doc = np.repeat(np.arange(len(rows)), lengths)
     toxic = y[doc] > 0
-    pairs = mix(hashes * np.uint64(3) + np.r_[np.uint64(0), hashes[:-1]])
-    marked = marked_slots(slots, pairs, toxic, least_count=max(5, int(0.005 * y.sum())))
-    labels = (toxic & marked[slots].any(1)).astype(np.int64)
-    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-    slot = slots[first]
-    del slots
+    marked = marked_types(slot, which, pairs, toxic, least_count=max(5, int(0.005 * y.sum())))
+    labels = (toxic & marked[which]).astype(np.int8)
+    del pairs, toxic
     weight = np.where(y > 0, 1.0, y.sum() / max((1 - y).sum(), 1))[doc]
     inner = np.ones(len(which), dtype=bool)
     inner[(np.cumsum(lengths) - lengths)[lengths > 0]] = False
@@ -196,20 +211,43 @@ def fit(rows: list[tuple[str, int]], rounds: int = 20) -> ToxicityModel:
     opened = np.bincount(labels[~inner], minlength=2).astype(float)
     w = {"token": np.zeros(SLOTS), "steps": np.log((seen + 1) / (seen + 1).sum()), "start": np.log((opened + 1) / (opened + 1).sum())}
     adam = Adam(w, 0.3)
+    runs = _runs_of_documents(lengths)
     for _ in range(rounds):
-        emission = w["token"][slot].sum(1)[which]
-        p, expected, opening = marginals(emission, lengths, w["steps"], w["start"], pairs=True)
+        p, expected, opening = _all_marginals(w["token"][slot].sum(1), which, lengths, runs, w)
         slope = np.bincount(which, weights=(p - labels) * weight, minlength=len(slot))
-        token = np.bincount(slot.ravel(), weights=np.repeat(slope, FEATURES), minlength=SLOTS)
+        token = sum(np.bincount(slot[:, k], weights=slope, minlength=SLOTS) for k in range(FEATURES))
         n = len(which)
         gradients = {"token": token / n + 1e-7 * w["token"], "steps": (expected - seen) / n, "start": (opening - opened) / n}
         adam.step({k: g if k == "token" else 0.1 * g for k, g in gradients.items()})
     model = ToxicityModel(float(y.mean()), w["token"].astype(np.float32), w["steps"], w["start"])
-    p = marginals(w["token"][slot].sum(1)[which], lengths, w["steps"], w["start"])
+    p, _, _ = _all_marginals(w["token"][slot].sum(1), which, lengths, runs, w)
     model.document = _logistic(_summary(p, lengths), y)
     return model
 
 
+def _runs_of_documents(lengths: np.ndarray, most: int = 200_000) -> list[tuple[slice, slice]]:
+    """Documents and tokens of runs of about ``most`` tokens, so that the memory of a step stays small."""
+    ends = np.cumsum(lengths)
+    out, at = [], 0
+    while at < len(lengths):
+        before = ends[at] - lengths[at]
+        to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        out.append((slice(at, to), slice(int(before), int(ends[to - 1]))))
+        at = to
+    return out
+
+
+def _all_marginals(by_type: np.ndarray, which: np.ndarray, lengths: np.ndarray, runs, w: dict[str, np.ndarray]):
+    """``marginals`` with pairs, run after run."""
+    p, expected, opening = np.empty(len(which)), np.zeros((2, 2)), np.zeros(2)
+    for docs, tokens in runs:
+        found = marginals(by_type[which[tokens]], lengths[docs], w["steps"], w["start"], pairs=True)
+        p[tokens] = found[0]
+        expected += found[1]
+        opening += found[2]
+    return p, expected, opening
+
+
 def _summary(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """One row per document: 1, log(1 + expected toxic tokens), largest marginal."""
     out = np.zeros((len(lengths), 3))
