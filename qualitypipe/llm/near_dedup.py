@@ -1,16 +1,16 @@
 """Near-duplicate groups by HyperMinHash, banding and verification on full shingle sets.
 
 A document is the set of its distinct five-word shingles (A-Z lower-cased words; fewer than five words are one shingle). Documents
-with the same set form a class, and one row stands for it from then on. Each set has 128 registers. A register has a hash of its
+with the same set form a class, and one row stands for it from then on. Each set has 384 registers. A register has a hash of its
 own, and keeps of the smallest value only the number of leading zeros (6 bits) and the 10 bits behind the first one.
-Four registers are packed into the 64-bit key of a band, 32 bands in all; sets with a Jaccard similarity of 0.75 agree in a band but
-for 5 in a million. Register agreement, corrected for accidental collisions of compressed registers, estimates the similarity;
-candidates below 0.55 (five standard deviations from 0.75) are left out and all others are verified on their full sets.
+Six registers are packed into the 64-bit key of a band, 64 bands in all; sets with a Jaccard similarity of 0.75 agree in a band but
+for 4 in a million. Register agreement, corrected for accidental collisions of compressed registers, estimates the similarity;
+candidates below 0.64 (five standard deviations from 0.75) are left out and all others are verified on their full sets.
 
-Pairs within a band's bucket are never listed as such. Every member is first compared with its bucket's smallest member only
-(of several such hubs, with the one estimated most similar), and what links is joined into components. Then only pairs across components are
-left: other hubs; all such pairs in buckets that hold few components; and for buckets with many, an exact prefix-filter
-join on shingles, rarest first, of the documents in them. So no bucket is cut, and none goes to one task.
+Pairs within a band's bucket are never listed as such. Every member is first compared with its bucket's smallest and largest member
+only; in rounds, each document with the hub estimated most similar whose component is still another, and what links is joined into
+components. Then only pairs across components are left: further hubs; all such pairs in small buckets; and for large ones
+that hold several components, an exact prefix-filter join on shingles, rarest first, of the documents in them. So no bucket is cut, and none goes to one task.
 
 Defined results: null and empty texts have no shingle and are linked with nothing. Rows with equal ids are one document; a null
 id is linked with nothing, and its component is null and it is kept. Only id and text are read, so other columns may have any name.
@@ -28,10 +28,12 @@ from qualitypipe.llm.shared import Block, blocks, lower_bytes, mix, written
 
 SHINGLE = 5
 NEED, OF = 75, 100  # shared * OF >= NEED * all
-REGISTERS, BAND = 128, 4
+REGISTERS, BAND = 384, 6
 BANDS = REGISTERS // BAND
 MANTISSA = 10
-ESTIMATE = 0.55
+ESTIMATE = 0.64
+#: Times each document tries another hub before all that is left is verified.
+ROUNDS = 4
 #: Buckets of several components with more members than this are joined by shingles instead of pair by pair.
 FEW_COMPONENTS = 48
 #: Beyond so many ids (8 bytes each), documents are joined by shuffle rather than with a table sent to all tasks.
@@ -96,13 +98,15 @@ def sketch(batches):
 
 
 def banded(batches):
-    """(band key, id) of each set: four registers packed, and the number of the band mixed in."""
+    """(band key, id) of each set: the registers of a band hashed together with its number."""
     number = mix(np.arange(BANDS, dtype=np.uint64) + np.uint64(1))
     for batch in batches:
         if not batch.num_rows:
             continue
-        packed = batch.column("registers").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, BANDS)
-        keys = (packed ^ number) * np.uint64(0x9E3779B97F4A7C15 | 1)
+        values = batch.column("registers").flatten().to_numpy(zero_copy_only=False).view(np.uint16).reshape(-1, BANDS, BAND)
+        keys = np.broadcast_to(number, values.shape[:2])
+        for k in range(BAND):
+            keys = mix(keys + values[:, :, k] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k))
         ids = np.repeat(batch.column("id").to_numpy(zero_copy_only=False), BANDS)
         yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)], names=["band", "id"])
 
@@ -143,7 +147,7 @@ def _with_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def _verified(docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), f"{name}-ids")
+    ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), f"{name}-ids")
     sets = written(_with_sets(docs, ids), f"{name}-sets")
     left = sets.select(F.col("id").alias("a"), F.col("found").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("found").alias("y"))
@@ -218,16 +222,22 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     source = texts.filter("id is not null")
 
     bands = written(sets.select("id", "registers").mapInArrow(banded, T.StructType([T.StructField("band", T.LongType()), texts.schema["id"]])), "bands")
-    hubs = bands.groupBy("band").agg(F.min("id").alias("hub"), F.count("*").alias("size")).filter("size > 1")
-    members = written(bands.join(hubs, "band").select("band", "id", "hub"), "members")
-    stars = members.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    near = written(_estimated(stars, sets), "stars")
-    best = near.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a")).select("a", "b")
-    links = _verified(source, best, "best")
-    roots = components(links)
+    ends = [F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("size")]
+    members = written(bands.join(bands.groupBy("band").agg(*ends).filter("size > 1"), "band").select("band", "id", "low", "high"), "members")
+    to_hub = [members.filter(F.col("id") != F.col(hub)).select(F.least("id", hub).alias("a"), F.greatest("id", hub).alias("b")) for hub in ("low", "high")]
+    near = written(_estimated(to_hub[0].unionByName(to_hub[1]).distinct(), sets), "stars")
+    links, roots, others = None, None, near
+    for _ in range(ROUNDS):
+        best = others.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a")).select("a", "b")
+        found = _verified(source, best, "best")
+        links = found if links is None else links.unionByName(found)
+        roots = components(links)
+        others = written(_across(others.join(best, ["a", "b"], "left_anti"), roots), "others")
+        if not others.limit(1).count():
+            break
+    others = others.select("a", "b")
 
     # what is left: pairs across components that share a bucket
-    others = _across(near.select("a", "b").join(best, ["a", "b"], "left_anti"), roots)
     placed = written(_labelled(members.select("band", "id"), roots, "id", "root"), "placed")
     spread = placed.groupBy("band").agg(F.count_distinct("root").alias("roots"), F.count("*").alias("size")).filter("roots > 1")
     # pairs of a small bucket are at most FEW_COMPONENTS for each member
