@@ -69,7 +69,7 @@ def count_contexts(batches):
         codes.append(found)
         counts.append(n)
         kept += len(found)
-        if kept > 3_000_000:
+        if kept > 1_500_000:
             yield merged()
             codes.clear()
             counts.clear()
@@ -89,7 +89,7 @@ def count_tokens(batches):
     for batch in batches:
         for text in batch.column("_text"):
             counter.update((text.as_py() or b"").lower().split())
-            if len(counter) > 500_000:
+            if len(counter) > 300_000:
                 yield out()
                 counter.clear()
     yield out()
