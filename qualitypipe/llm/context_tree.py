@@ -2,16 +2,23 @@
 
 Texts are bytes (A-Z lower-cased) after an end mark and closed by one. The next byte is coded as eight binary decisions;
 for each decision there is a context tree over the preceding bytes. Every node estimates its bit by Krichevsky-Trofimov counts, and
-a node's weighted probability is half its own estimate's and half the product of its children's. Counts come from
-all training bytes by a shuffle, at every depth; a context becomes a node if at least one in ``SHARE`` of the bytes follows it, so
-a tree has at most ``SHARE`` nodes per depth whatever the corpus, and the bytes after all rarer extensions of a node form one
-child together: nothing is left out. A text's score is the sum of log10 of the weighted predictions.
+a node's weighted probability is half its own estimate's and half the product of its children's. Every context of up to ``DEPTH``
+bytes that a training byte follows is a node, however rare it is and however many there are. A text's score is the sum of log10 of
+the weighted predictions.
+
+Contexts with the following byte are counted by a shuffle. Those that share their nearest bytes lie in one task, which weights them from
+the leaves up; the sums of contexts of ``HEAD`` bytes, at most 256 ** HEAD whatever the corpus, meet in the driver, which weights the rest. In a
+second pass over the same table the tasks go from the root down and write log10 of the prediction for each context and byte that
+occurs in any text. The most frequent of these, a bounded number, are looked up in the tasks; the others are joined.
 
 Also the token baseline: log10 of add-0.1 unigram probabilities, over all training tokens. The most frequent tokens, a bounded
 number, are looked up in the tasks; the others by a join on the token.
 
 Defined results: null texts are empty and are scored as the end mark alone; without training rows all bytes are equally likely. Texts
 are scored whole. Rows that repeat an id each get their row. Only id and text are read, so other columns may have any name.
+
+``grow``, ``build`` and ``score_block`` hold a tree in the driver, with only the contexts that at least one in ``share`` bytes follows as nodes.
+``score`` does not use them; they serve to compare with.
 """
 
 from __future__ import annotations
@@ -31,6 +38,9 @@ DEPTH = 5
 SHARE = 65536
 END = 0xFF  # occurs in no UTF-8 text
 FREQUENT = 50_000
+HEAD = 2  # bytes of the contexts that are weighted in the driver
+LOOKED_UP = 2_000_000  # contexts with a byte, 16 bytes each
+CHUNK = 200_000  # rows of contexts that are weighted at a time, and the rest of the last group
 
 
 def byte_stream(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -49,8 +59,18 @@ def coded(stream: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(hit)
 
 
+def codes_of(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """DEPTH preceding bytes, the nearest lowest but one, then the byte itself, of all bytes; and where the documents begin."""
+    stream, starts = byte_stream(block)
+    at = coded(stream, starts)
+    code = np.zeros(len(at), dtype=np.int64)
+    for d in range(DEPTH, -1, -1):
+        code = (code << 8) | stream[at - d]
+    return code, np.concatenate([[0], np.cumsum(np.diff(starts) - DEPTH)])
+
+
 def count_contexts(batches):
-    """(code, n): DEPTH preceding bytes, the nearest lowest but one, then the byte itself, and how often."""
+    """(code, n): codes of all texts, and how often in those to learn from (all, if there is no column ``_train``)."""
     codes, counts, kept = [], [], 0
 
     def merged() -> pa.RecordBatch:
@@ -60,15 +80,16 @@ def count_contexts(batches):
         return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], names=["code", "n"])
 
     for block in blocks(batches, "_text"):
-        stream, starts = byte_stream(block)
-        at = coded(stream, starts)
-        code = np.zeros(len(at), dtype=np.int64)
-        for d in range(DEPTH, -1, -1):
-            code = (code << 8) | stream[at - d]
-        found, n = np.unique(code, return_counts=True)
-        codes.append(found)
-        counts.append(n)
-        kept += len(found)
+        code, first = codes_of(block)
+        learn = np.ones(block.size, dtype=bool)
+        if "_train" in block.rows.schema.names:
+            learn = block.rows.column("_train").to_numpy(zero_copy_only=False)
+        learn = np.repeat(learn, np.diff(first))
+        for some, weight in ((code[learn], 1), (code[~learn], 0)):
+            found, n = np.unique(some, return_counts=True)
+            codes.append(found)
+            counts.append(n * weight)
+            kept += len(found)
         if kept > 1_500_000:
             yield merged()
             codes.clear()
@@ -275,10 +296,148 @@ def grow(train: DataFrame, share: int = SHARE) -> Tree:
     return build(levels[::-1])
 
 
-def score(docs: DataFrame, train: Column, keep: list[str], share: int = SHARE) -> DataFrame:
+def decisions(code: np.ndarray, n: np.ndarray) -> list[tuple]:
+    """For each of the eight bits: keys (context, then the bits so far), zeros, ones. The codes are sorted and occur once."""
+    out = []
+    for bit in range(8):
+        key = code >> (8 - bit)
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        ones = np.add.reduceat(np.where(code >> (7 - bit) & 1, n, 0), first)
+        out.append((key[first], np.add.reduceat(n, first) - ones, ones, None))
+    return out
+
+
+def climb(nodes: list[tuple], deep: int, top: int) -> tuple[dict, list[tuple]]:
+    """Weights the nodes of depth ``deep`` and all above them up to depth ``top``.
+
+    nodes: for each bit, keys, zeros, ones and the log of the children's product. Gives by depth and bit the keys, the chance of a one and
+    the weight of the own estimate; and what the depth above ``top`` gets.
+    """
+    tables, above = {}, []
+    for bit, (key, zeros, ones, product) in enumerate(nodes):
+        for d in range(deep, top - 1, -1):
+            weighted = log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - np.log(np.pi)
+            own = np.ones(len(key))
+            if d < DEPTH:
+                both = np.logaddexp(weighted, product)
+                own, weighted = np.exp(weighted - both), both - np.log(2)
+            tables[d, bit] = key, (ones + 0.5) / (zeros + ones + 1.0), own
+            if d:
+                key, up = np.unique(key & ((1 << 8 * (d - 1) + bit) - 1), return_inverse=True)
+                zeros, ones, product = (np.bincount(up, x, len(key)) for x in (zeros, ones, weighted))
+        above.append((key, zeros, ones, product))
+    return tables, above
+
+
+def predicted(code: np.ndarray, tables: dict) -> np.ndarray:
+    """log10 of each code's byte after its context, from the root down; what was never seen is a half."""
+    logs = np.zeros(len(code))
+    for bit in range(8):
+        mixed, left = np.zeros(len(code)), np.ones(len(code))
+        for d in range(DEPTH + 1):
+            key, chance, own = (np.append(x, last) for x, last in zip(tables[d, bit], (-1, 0.5, 1.0), strict=True))
+            wanted = (code & ((1 << 8 * (d + 1)) - 1)) >> (8 - bit)
+            at = np.searchsorted(key[:-1], wanted)
+            at[key[at] != wanted] = len(key) - 1
+            mixed += left * own[at] * chance[at]
+            left *= 1 - own[at]
+        logs += np.log10(np.where(code >> (7 - bit) & 1, mixed, 1 - mixed))
+    return logs
+
+
+def whole_groups(batches, near: int):
+    """Sorted (code, n), about CHUNK rows at a time, from rows ordered by the ``near`` nearest bytes: no group of these is cut in two."""
+    code, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    parts, kept = [], 0
+
+    def ordered(to: int):
+        order = np.argsort(code[:to])
+        return code[:to][order], n[:to][order]
+
+    for batch in batches:
+        parts.append((batch.column("code").to_numpy(), batch.column("n").to_numpy()))
+        kept += len(batch)
+        if kept >= CHUNK:
+            code, n = (np.concatenate(x) for x in zip((code, n), *parts, strict=True))
+            group = (code >> 8) & ((1 << 8 * near) - 1)
+            to = int(np.argmax(group == group[-1]))
+            if to:
+                yield ordered(to)
+            code, n = code[to:], n[to:]
+            parts, kept = [], 0
+    code, n = (np.concatenate(x) for x in zip((code, n), *parts, strict=True))
+    if len(code):
+        yield ordered(len(code))
+
+
+def predictions(docs: DataFrame, train: Column) -> DataFrame:
+    """A table of code, n and log: every context and byte of the texts, how often in those to learn from, and log10 of the prediction."""
+    near = min(HEAD + 1, DEPTH)
+    source = docs.select(F.coalesce(train, F.lit(False)).alias("_train"), F.col("text").cast("binary").alias("_text"))
+    raw = source.mapInArrow(count_contexts, "code long, n long")
+    counts = written(raw.groupBy("code").agg(F.sum("n").alias("n")), "context-counts")
+    group = F.shiftright("code", 8).bitwiseAND((1 << 8 * near) - 1)
+
+    def sums_above(batches):
+        for code, n in whole_groups(batches, near):
+            _, above = climb(decisions(code, n), DEPTH, near)
+            for bit, (key, *values) in enumerate(above):
+                arrays = [pa.array(np.full(len(key), bit, np.int32)), pa.array(key), *(pa.array(x.astype(float)) for x in values)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["bit", "key", "zeros", "ones", "product"])
+
+    grouped = counts.filter("n > 0").repartition(group).sortWithinPartitions(group)
+    sums = grouped.mapInArrow(sums_above, "bit int, key long, zeros double, ones double, product double").groupBy("bit", "key")
+    # at most 256 ** HEAD contexts of 255 decisions each, whatever the corpus
+    met = sums.agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "product"))).toArrow()
+    bit, key, *values = (met.column(c).to_numpy() for c in ("bit", "key", "zeros", "ones", "product"))
+    order = np.lexsort((key, bit))
+    bounds = np.searchsorted(bit[order], np.arange(9))
+    nodes = [tuple(x[order[a:b]] for x in (key, *values)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    head, _ = climb(nodes, near - 1, 0)
+
+    def predict(batches):
+        for code, n in whole_groups(batches, near):
+            tables, _ = climb(decisions(code[n > 0], n[n > 0]), DEPTH, near)
+            logs = predicted(code, head | tables)
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n), pa.array(logs)], names=["code", "n", "log"])
+
+    grouped = counts.repartition(group).sortWithinPartitions(group)
+    return written(grouped.mapInArrow(predict, "code long, n long, log double"), "context-logs")
+
+
+def most_frequent(logs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and logs of the most frequent codes, LOOKED_UP at most: all that occur at least 2 ** k times, for the least k that fits."""
+    digits = F.length(F.bin("n"))
+    sizes = logs.groupBy(digits.alias("digits")).count().collect()
+    least, held = None, 0
+    for r in sorted(sizes, key=lambda r: -r.digits):
+        held += r["count"]
+        if held > LOOKED_UP:
+            break
+        least = r.digits
+    often = logs.filter(F.lit(False) if least is None else digits >= least).select("code", "log").toArrow()
+    code, log = (often.column(c).to_numpy() for c in ("code", "log"))
+    order = np.argsort(code)
+    return code[order], log[order]
+
+
+def look_up(block: Block, codes: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Of each document, the sum of the logs of its bytes that are found, and the codes that are not."""
+    code, first = codes_of(block)
+    names, which = np.unique(code, return_inverse=True)
+    at = np.searchsorted(codes, names)
+    found = np.append(codes, -1)[at] == names
+    known = np.where(found, np.append(logs, 0.0)[at], 0.0)[which]
+    other = np.flatnonzero(~found[which])
+    others = pa.ListArray.from_arrays(np.searchsorted(other, first).astype(np.int32), pa.array(code[other]))
+    return np.add.reduceat(known, first[:-1]), others
+
+
+def score(docs: DataFrame, train: Column, keep: list[str]) -> DataFrame:
     """The columns ``keep`` with n_tokens, n_known, train_tokens, base_score and score, learned from rows where ``train`` holds."""
     learned = docs.filter(train).select("text")
-    tree = grow(learned, share)
+    logs_table = predictions(docs, train)
+    codes, logs = most_frequent(logs_table)
     words = learned.select(F.col("text").cast("binary").alias("_text")).mapInArrow(count_tokens, "token binary, n long")
     vocabulary = written(words.groupBy("token").agg(F.sum("n").alias("n")), "token-counts")
     n_docs = learned.count()
@@ -291,12 +450,11 @@ def score(docs: DataFrame, train: Column, keep: list[str], share: int = SHARE) -
     end = float(np.log10(n_docs + 0.1)) - base
     columns = docs.select(*keep).schema
     schema = columns.add("_row", "long").add("n_tokens", "long").add("_known", "long").add("_base", "double").add("score", "double")
-    schema = schema.add("_others", T.ArrayType(T.BinaryType()))
+    schema = schema.add("_others", T.ArrayType(T.BinaryType())).add("_codes", T.ArrayType(T.LongType()))
 
     def first_pass(batches):
-        two = tree.after_two()
         for block in blocks(batches, "_text"):
-            logs = score_block(tree, block, two)
+            sums, other_codes = look_up(block, codes, logs)
             texts = block.rows.column("_text")
             number, found, base_sum, others = [], [], [], []
             for text in texts:
@@ -308,8 +466,8 @@ def score(docs: DataFrame, train: Column, keep: list[str], share: int = SHARE) -
                 base_sum.append(sum(x for x in values if x is not None) + end)
                 others.append(unknown)
             arrays = [block.rows.column(c) for c in keep] + [block.rows.column("_row")]
-            arrays += [pa.array(number, pa.int64()), pa.array(found, pa.int64()), pa.array(base_sum, pa.float64()), pa.array(logs)]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(others, pa.list_(pa.binary()))], names=schema.names)
+            arrays += [pa.array(number, pa.int64()), pa.array(found, pa.int64()), pa.array(base_sum, pa.float64()), pa.array(sums)]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(others, pa.list_(pa.binary())), other_codes], names=schema.names)
 
     source = docs.select(*keep, F.monotonically_increasing_id().alias("_row"), F.col("text").cast("binary").alias("_text"))
     scored = written(source.mapInArrow(first_pass, schema), "first-pass")
@@ -317,8 +475,11 @@ def score(docs: DataFrame, train: Column, keep: list[str], share: int = SHARE) -
     chance = F.log10(F.coalesce("n", F.lit(0)) + 0.1) - base
     sums = rare.join(vocabulary, "token", "left").groupBy("_row")
     sums = sums.agg(F.sum(F.col("k") * chance).alias("_more"), F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("_more_known"))
-    joined = scored.drop("_others").join(sums, "_row", "left")
+    rest = scored.select("_row", F.explode("_codes").alias("code")).groupBy("_row", "code").agg(F.count("*").alias("k"))
+    rest = rest.join(logs_table, "code").groupBy("_row").agg(F.sum(F.col("k") * F.col("log")).alias("_more_score"))
+    joined = scored.drop("_others", "_codes").join(sums, "_row", "left").join(rest, "_row", "left")
     return joined.select(
         *keep, "n_tokens", (F.col("_known") + F.coalesce("_more_known", F.lit(0))).alias("n_known"), F.lit(n_all).cast("long").alias("train_tokens"),
-        (F.col("_base") + F.coalesce("_more", F.lit(0.0))).alias("base_score"), "score",
+        (F.col("_base") + F.coalesce("_more", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("_more_score", F.lit(0.0))).alias("score"),
     )

@@ -123,6 +123,21 @@ def test_context_tree_without_rows(spark):
     assert context_tree.score(docs.limit(0), F.lit(True), ["doc_id"]).count() == 0
 
 
+@pytest.mark.parametrize(("depth", "looked_up"), [(2, 30), (5, 0), (5, 2_000_000)])
+def test_context_tree_keeps_rare_contexts_of_a_large_corpus(spark, monkeypatch, depth, looked_up):
+    monkeypatch.setattr(context_tree, "DEPTH", depth)
+    monkeypatch.setattr(context_tree, "LOOKED_UP", looked_up)
+    monkeypatch.setattr(context_tree, "CHUNK", 10)
+    # 400,000 bytes: one in 65,536 are six, and the rare word occurs twice
+    texts = [" ".join(prose(3, 60)), *["the cat sat on the mat " * 4400] * 4, "xqzjkv", "a xqzjkv", "", " ".join(prose(4, 60)), "xqzjkv", "xqzj \U0001f600", "zzz"]
+    docs = documents(spark, [*enumerate(texts), (None, None)])
+    found = {r.doc_id: r.score for r in context_tree.score(clashing(docs), F.col("doc_id") < 8, ["doc_id"]).collect()}
+    tree = context_tree.grow(docs.filter("doc_id < 8"), share=10**9)
+    for i, text in [*enumerate(texts), (None, "")]:
+        expected = context_tree.score_block(tree, next(blocks_of([text])), tree.after_two())[0]
+        assert found[i] == pytest.approx(expected, rel=1e-4)
+
+
 @needs_tables
 def test_context_tree_predicts_held_out_documents(spark):
     found = queries()["op4_context_tree"](spark, str(SF_LARGER))
