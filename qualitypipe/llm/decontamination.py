@@ -8,8 +8,8 @@ join on (size, block, value) finds all of them. Those within the radius are veri
 similarity of five-word shingles, weighted by how often each occurs: sum of minima over sum of maxima, 0.75 or more.
 
 Defined results: null and empty texts hold no item; empty items are held by none. A text or item shorter than five words is one
-shingle; a text shorter than an item is one window. A null id is an id like any other; rows with the same id
-count as one document. Repeated items with different ids are found each. Only the columns named are read, so others may have any name.
+shingle; a text shorter than an item is one window. In ``contained`` a null id is an id like any other, and rows with the same id
+count as one document; ``decontaminate`` judges each row by its own text. Repeated items with different ids are found each. Only the columns named are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -131,6 +131,8 @@ def _runs(words: Column, size: int) -> Column:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` without the documents that hold an item."""
-    ids = written(contained(docs, items, key).select(F.col(key).alias("_held")).distinct(), "contaminated")
-    return docs.join(_few(ids, FEW_DOCUMENTS), docs[key].eqNullSafe(ids["_held"]), "left_anti")
+    """``docs`` without the rows that hold an item; others of the same id, or without one, stay."""
+    # a digest of id and text, the first digest of fixed length or empty
+    row = F.unhex(F.sha2(F.concat(F.coalesce(F.sha2(docs[key].cast("string"), 256), F.lit("")), F.coalesce(docs["text"], F.lit(""))), 256))
+    ids = written(contained(docs.select(row.alias("_key"), "text"), items, "_key").select(F.col("_key").alias("_held")).distinct(), "contaminated")
+    return docs.join(_few(ids, FEW_DOCUMENTS), row == ids["_held"], "left_anti")

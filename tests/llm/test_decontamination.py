@@ -66,6 +66,14 @@ def test_planted_passages(spark):
     assert set(left.columns) == set(clashing(documents(spark, docs)).columns)
 
 
+def test_clean_rows_stay_beside_held_ones_of_the_same_id(spark):
+    items = spark.createDataFrame([(1, " ".join(prose(1, 20)))], "item_id long, text string")
+    held, clean = "before " + " ".join(prose(1, 20)), [" ".join(prose(k, 40)) for k in (7, 8, 9)]
+    rows = [(None, held), (None, clean[0]), (None, None), (None, ""), (5, held), (5, clean[1]), (6, clean[2]), (7, held)]
+    left = decontamination.decontaminate(clashing(documents(spark, rows)), items)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in left.collect()))) == sorted(map(str, (x for x in rows if x[1] != held)))
+
+
 def test_without_broadcast_and_with_empty_tables(spark, monkeypatch):
     items = spark.createDataFrame([(1, " ".join(prose(1, 20)))], "item_id long, text string")
     docs = documents(spark, {1: "before " + " ".join(prose(1, 20)), 2: "nothing here"})
