@@ -14,10 +14,13 @@ from qualitypipe.llm import (
     language_id,
     mixing,
     near_dedup,
+    nearest,
     quality_classifier,
     quality_rules,
     toxicity,
     url_filter,
+    vector_codes,
+    whitening,
 )
 from qualitypipe.llm.shared import fold, labelled_sample, table
 
@@ -140,3 +143,64 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_classifier.score(docs, model, ["doc_id"])
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
     return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", predicted, "n_passages", "top_attention")
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
+def _vector_codes_sql(rounds: int = 4) -> str:
+    """The rounds written out one after the other; the dimension must be a multiple of 4."""
+    squared = "list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+assigned{k} AS MATERIALIZED (
+  SELECT vec_id, p, any_value(v) AS v, min({{'d': d, 'e': e}}) AS best FROM (
+    SELECT a.vec_id, a.p, a.v, b.e, CAST({squared} AS BIGINT) AS d FROM parts AS a JOIN book{k} AS b USING (p)) AS every GROUP BY 1, 2)""")
+        if k < rounds:
+            steps.append(f"""
+moved{k} AS (
+  SELECT p, e, list(CAST(floor(total / number) AS BIGINT) ORDER BY i) AS v FROM (
+    SELECT p, best.e AS e, i, CAST(sum(v[i]) AS DOUBLE) AS total, count(*) AS number
+    FROM assigned{k}, unnest(range(1, len(v) + 1)) AS positions(i) GROUP BY 1, 2, 3) AS summed GROUP BY 1, 2),
+book{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(m.v, b.v) AS v FROM book{k} AS b LEFT JOIN moved{k} AS m USING (p, e))""")
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)),
+parts AS MATERIALIZED (SELECT vec_id, p, x[p * len(x) // 4 + 1:(p + 1) * len(x) // 4] AS v FROM kept, range(4) AS positions(p)),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept),
+book0 AS MATERIALIZED (SELECT p, e, v FROM parts JOIN first USING (vec_id) WHERE e < 256),{",".join(steps)},
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM assigned{rounds} GROUP BY 1),
+books AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), books"""
+
+
+ORACLES["op11_vector_codes"] = _vector_codes_sql()
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.neighbours(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
+
+
+ORACLES["op13_nearest"] = r"""
+WITH usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS place FROM (
+    SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+    FROM usable AS q JOIN usable AS c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0) AS every) AS ranked
+WHERE place <= 10
+"""
