@@ -200,7 +200,7 @@ WITH usable AS (
     AND len(list_filter(embedding, lambda c: c <> 0)) > 0)
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS place FROM (
-    SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+    SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(q.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])), lambda x, y: x + y)) AS score
     FROM usable AS q JOIN usable AS c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0) AS every) AS ranked
 WHERE place <= 10
 """

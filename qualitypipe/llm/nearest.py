@@ -112,7 +112,8 @@ def search(batches, queries: dict[str, np.ndarray], k: int):
                     near = np.flatnonzero((least[q - a] <= limit * (1 + 1e-9)) & (row != own[q]))
                     if not len(near):
                         continue
-                    exact = np.sqrt(((vector[near] - asked[q]) ** 2).sum(axis=1))
+                    # squares are added from the first component to the last, so that the result is the same everywhere
+                    exact = np.sqrt(np.cumsum((vector[near] - asked[q]) ** 2, axis=1)[:, -1])
                     near, exact = near[exact <= score[q, -1]], exact[exact <= score[q, -1]]
                     if not len(near):
                         continue
