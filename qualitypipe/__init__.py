@@ -2,8 +2,10 @@
 
 from qualitypipe.operators.analytics import count_by, group_counts, top_n
 from qualitypipe.operators.quality import (
+    Wanted,
     build_report,
     duplicate_examples,
+    example_lines,
     not_matching_examples,
     profile,
     summarize,
@@ -24,10 +26,12 @@ __all__ = [
     "IngestResult",
     "StepError",
     "ValidationError",
+    "Wanted",
     "apply_steps",
     "build_report",
     "count_by",
     "duplicate_examples",
+    "example_lines",
     "group_counts",
     "not_matching_examples",
     "preview",

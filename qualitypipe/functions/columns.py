@@ -57,15 +57,66 @@ def is_text(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.StringType, T.CharType, T.VarcharType))
 
 
+_PLAIN_LEAVES = (T.BooleanType, T.IntegralType, T.DecimalType, T.DateType, T.TimestampNTZType, T.DayTimeIntervalType, T.YearMonthIntervalType)
+
+
+def _has_canonical_text(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.ArrayType):
+        return _has_canonical_text(data_type.elementType)
+    if isinstance(data_type, T.MapType):
+        return _has_canonical_text(data_type.keyType) and _has_canonical_text(data_type.valueType)
+    if isinstance(data_type, T.StructType):
+        return all(_has_canonical_text(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, T.StringType):
+        return data_type == T.StringType() or isinstance(data_type, (T.CharType, T.VarcharType))
+    return isinstance(data_type, (*_PLAIN_LEAVES, T.BinaryType, T.FloatType, T.DoubleType, T.TimestampType, T.CharType, T.VarcharType, T.NullType))
+
+
+def is_nested(data_type: T.DataType) -> bool:
+    return isinstance(data_type, (T.ArrayType, T.MapType, T.StructType))
+
+
 def is_wide(data_type: T.DataType) -> bool:
-    """Text compared byte by byte, or binary: values of any length that a digest can stand for."""
+    """Values of any length that a digest can stand for: text compared byte by byte, binary, and arrays, structs and
+    maps of what has a canonical text."""
     if isinstance(data_type, (T.BinaryType, T.CharType, T.VarcharType)):
         return True
-    return data_type == T.StringType()
-
-
-def digest(column: Column) -> Column:
-    """The 32 bytes of SHA-256; NULL stays NULL."""
+    return data_type == T.StringType() or (is_nested(data_type) and _has_canonical_text(data_type))
+
+
+def canonical_text(value: Column, data_type: T.DataType) -> Column:
+    """Text that two values share exactly if grouping takes them for equal; NULL stays NULL.
+
+    Parts are written with their length in front, so that none can be taken for another. NaNs are equal, and so are 0.0 and
+    -0.0; timestamps are instants, whatever the session's time zone; entries of a map are sorted.
+    """
+
+    def framed(part: Column, part_type: T.DataType) -> Column:
+        text = canonical_text(part, part_type)
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    if isinstance(data_type, T.ArrayType):
+        parts = F.transform(value, lambda part: framed(part, data_type.elementType))
+        return F.array_join(parts, "")
+    if isinstance(data_type, T.MapType):
+        entry = lambda e: F.concat(framed(e["key"], data_type.keyType), framed(e["value"], data_type.valueType))
+        return F.array_join(F.array_sort(F.transform(F.map_entries(value), entry)), "")
+    if isinstance(data_type, T.StructType):
+        fields = [framed(value.getField(f.name), f.dataType) for f in data_type.fields]
+        return F.when(value.isNotNull(), F.concat(F.lit(""), *fields))
+    if isinstance(data_type, T.BinaryType):
+        return F.hex(value)
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        return F.when(value == 0, F.lit("0.0")).otherwise(value.cast("string"))
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(value).cast("string")
+    return value.cast("string")
+
+
+def digest(column: Column, data_type: T.DataType | None = None) -> Column:
+    """The 32 bytes of SHA-256 of text or binary, or of the canonical text of a nested value; NULL stays NULL."""
+    if data_type is not None and is_nested(data_type):
+        column = canonical_text(column, data_type)
     return F.unhex(F.sha2(column.cast("binary"), 256))
 
 

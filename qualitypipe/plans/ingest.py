@@ -65,6 +65,7 @@ class IngestResult:
     output: DataFrame
     analytics: dict[str, DataFrame]
     examples: dict[tuple[int, str], DataFrame]
+    example_lines: DataFrame
 
 
 def run_ingest(
@@ -87,7 +88,8 @@ def run_ingest(
     if config.strict_validation and not validation.passed:
         raise ValidationError(validation)
     rows_read = validation.rows if validation.rows is not None else dq.measure(raw).first().total
-    examples = failure_examples(raw, rules, validation)
+    wanted = failed_for_examples(rules, validation)
+    examples, example_lines = failure_examples(raw, wanted), dq.example_lines(raw, wanted)
 
     rows_written = write_files(transformed.frame, sink.path, sink.format)
     output = read_back(spark, transformed.frame, sink)
@@ -103,6 +105,7 @@ def run_ingest(
         output=output,
         analytics=analytics,
         examples=examples,
+        example_lines=example_lines,
     )
 
 
@@ -152,23 +155,27 @@ def analyze(df: DataFrame, config: Mapping[str, Any]) -> tuple[dict[str, DataFra
     return results, [StepNote(None, "analytics", column, "column not found") for column in missing]
 
 
-def failure_examples(
-    df: DataFrame, rules: Iterable[dq.Rule], validation: dq.Validation
-) -> dict[tuple[int, str], DataFrame]:
-    """Lazy examples of offending values for failed unique and pattern rules, by number of the rule and column."""
+def failed_for_examples(rules: Iterable[dq.Rule], validation: dq.Validation) -> list[dq.Wanted]:
+    """What examples are asked for: failed unique and pattern rules, by number of the rule and column."""
     failed = {
-        (line.rule_no, line.column_name)
+        (line.rule_no, line.column_name): line.failed
         for line in validation.lines
         if line.status == "fail" and line.total is not None
     }
-    examples = {}
+    wanted = []
     for rule_no, rule in enumerate(rules, start=1):
         if isinstance(rule, dq.Unique):
-            for column in rule.columns:
-                if (rule_no, column) in failed:
-                    examples[rule_no, column] = dq.duplicate_examples(df, column)
+            wanted += [dq.Wanted(rule_no, column) for column in dict.fromkeys(rule.columns) if (rule_no, column) in failed]
         elif isinstance(rule, dq.RegexMatch) and (rule_no, rule.column) in failed:
-            examples[rule_no, rule.column] = dq.not_matching_examples(
-                df, rule.column, rule.pattern
-            )
-    return examples
+            wanted.append(dq.Wanted(rule_no, rule.column, rule.pattern, failed[rule_no, rule.column]))
+    return wanted
+
+
+def failure_examples(df: DataFrame, wanted: Iterable[dq.Wanted]) -> dict[tuple[int, str], DataFrame]:
+    """Lazy examples of offending values, one frame each: for all in one scan, take ``example_lines``."""
+    return {
+        (w.rule_no, w.column): dq.duplicate_examples(df, w.column)
+        if w.pattern is None
+        else dq.not_matching_examples(df, w.column, w.pattern)
+        for w in wanted
+    }

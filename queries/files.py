@@ -257,18 +257,8 @@ def metric_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
       WHERE NOT regexp_matches(o_orderpriority, '^[1-3]-') ORDER BY o_orderpriority LIMIT 5) AS unmatched"""
 )
 def ingest_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The examples of a run, one entry per failed rule and column."""
-    found = None
-    for (rule_no, column), rows in _ingest_orders(spark, sf_dir, "ingest_examples").examples.items():
-        number = F.col("count") if "count" in rows.columns else F.lit(None).cast("bigint")
-        lines = rows.select(
-            F.lit(rule_no).alias("rule_no"),
-            F.lit(column).alias("column_name"),
-            F.col(column).cast("string").alias("value"),
-            number.alias("number"),
-        )
-        found = lines if found is None else found.unionByName(lines)
-    return found
+    """The examples of a run, all from one scan."""
+    return _ingest_orders(spark, sf_dir, "ingest_examples").example_lines.drop("place")
 
 
 def _ingest_stations(spark: SparkSession, sf_dir: str, name: str):

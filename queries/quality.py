@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualitypipe import build_report, duplicate_examples, not_matching_examples, summarize
+from qualitypipe import Wanted, build_report, duplicate_examples, example_lines, not_matching_examples, summarize
 from qualitypipe import fixed_values as fixed
 from qualitypipe.plans.stations import RULES
 from queries.registry import query, table
@@ -193,6 +193,96 @@ def dq_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_report(table(spark, sf_dir, "orders"), rules)
 
 
+def _unfit(no, rule, kind, column, reason):
+    reason = reason.replace("'", "''")
+    return f"""
+    SELECT CAST({no} AS INTEGER) AS rule_no, '{rule}' AS rule, '{kind}' AS rule_type,
+      '{column}' AS column_name, 'fail' AS status, CAST(NULL AS BIGINT) AS failed,
+      CAST(NULL AS BIGINT) AS total, CAST(NULL AS DOUBLE) AS ratio,
+      'Rule does not fit column ''{column}'': {reason}' AS details"""
+
+
+@query(
+    _report(
+        _unfit(1, "broken", "regex_match", "o_orderpriority", "'^[1-3' is no regular expression"),
+        _unfit(2, "value_range", "value_range", "o_custkey", "bounds [x, None] are no values of type bigint"),
+        _unfit(3, "value_range", "value_range", "o_orderdate", "bounds [None, soon] are no values of type timestamp_ntz"),
+        _unfit(4, "most", "not_null", "o_orderkey", "threshold 'all' is no number"),
+        _regex(5, "o_orderpriority", "orders", "^[1-3]-"),
+        _range(6, "o_totalprice", "orders", "10000", "200000"),
+        _not_null(7, "o_orderkey", "orders", threshold="0.9"),
+        _unique(8, "o_custkey", "orders"),
+    )
+)
+def dq_unfit_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules that can't be evaluated are a failed line each; all others are measured."""
+    rules = [
+        {"name": "broken", "type": "regex_match", "column": "o_orderpriority", "pattern": "^[1-3"},
+        {"type": "value_range", "column": "o_custkey", "min": "x"},
+        {"type": "value_range", "column": "o_orderdate", "max": "soon"},
+        {"name": "most", "type": "not_null", "columns": ["o_orderkey"], "threshold": "all"},
+        {"type": "regex_match", "column": "o_orderpriority", "pattern": "^[1-3]-"},
+        {"type": "value_range", "column": "o_totalprice", "min": "10000", "max": "200000"},
+        {"type": "not_null", "columns": ["o_orderkey"], "threshold": "0.9"},
+        {"type": "unique", "columns": ["o_custkey"]},
+    ]
+    return build_report(table(spark, sf_dir, "orders"), rules)
+
+
+_NESTED_SQL = """(
+    SELECT {'type': event_type, 'odd': CASE WHEN user_id % 2 = 1 THEN [value, -value] END} AS pair,
+      [event_type, props] AS texts, {'k': event_type, 'v': user_id % 10} AS entry FROM events) AS nested"""
+
+
+@query(_report(*(_unique(1, c, _NESTED_SQL, name="copies") for c in ("pair", "texts", "entry"))))
+def dq_unique_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structs with a list, lists and maps, which travel as digests."""
+    nested = table(spark, sf_dir, "events").selectExpr(
+        "struct(event_type AS type, if(user_id % 2 = 1, array(value, -value), NULL) AS odd) AS pair",
+        "array(event_type, props) AS texts",
+        "map(event_type, user_id % 10) AS entry",
+    )
+    return build_report(nested, [{"name": "copies", "type": "unique", "columns": ["pair", "texts", "entry"]}])
+
+
+_BOUNDS = [("l_quantity", 0.5), ("l_discount", 0.001), ("l_tax", 0.001), ("l_extendedprice", 900.0)]
+_MANY = [(column, round(step * i, 3)) for i in range(30) for column, step in _BOUNDS]
+
+
+@query(
+    _report(
+        *(_range(no, column, "lineitem", None, bound) for no, (column, bound) in enumerate(_MANY, start=1)),
+        _unique(len(_MANY) + 1, "l_orderkey", "lineitem"),
+    )
+)
+def dq_many_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """120 row checks and a unique column, in one scan."""
+    rules = [{"type": "value_range", "column": column, "max": bound} for column, bound in _MANY]
+    return build_report(table(spark, sf_dir, "lineitem"), [*rules, {"type": "unique", "columns": ["l_orderkey"]}])
+
+
+@query(
+    """
+    SELECT * FROM (
+      SELECT CAST(1 AS INTEGER) AS rule_no, 'user_id' AS column_name, CAST(row_number() OVER (ORDER BY n DESC, user_id) AS INTEGER) AS place,
+        CAST(user_id AS VARCHAR) AS value, n AS number
+      FROM (SELECT user_id, count(*) AS n FROM events GROUP BY 1 HAVING count(*) > 1) AS users ORDER BY place LIMIT 3) AS repeated
+    UNION ALL SELECT * FROM (
+      SELECT CAST(1 AS INTEGER), 'props', CAST(row_number() OVER (ORDER BY n DESC, sha256(props)) AS INTEGER) AS place, props, n
+      FROM (SELECT props, count(*) AS n FROM events GROUP BY 1 HAVING count(*) > 1) AS texts ORDER BY place LIMIT 3) AS copied
+    UNION ALL SELECT * FROM (
+      SELECT CAST(2 AS INTEGER), 'event_type', CAST(row_number() OVER (ORDER BY event_type) AS INTEGER) AS place, event_type, NULL
+      FROM events WHERE NOT regexp_matches(event_type, '^[a-p]') ORDER BY place LIMIT 3) AS unmatched
+    UNION ALL SELECT * FROM (
+      SELECT CAST(3 AS INTEGER), 'user_id', CAST(row_number() OVER (ORDER BY user_id) AS INTEGER) AS place, CAST(user_id AS VARCHAR), NULL
+      FROM events WHERE NOT regexp_matches(CAST(user_id AS VARCHAR), '[02468]$') ORDER BY place LIMIT 3) AS odd"""
+)
+def dq_example_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Examples of four rules; repeated texts are fetched by a second scan."""
+    wanted = [Wanted(1, "user_id"), Wanted(1, "props"), Wanted(2, "event_type", "^[a-p]"), Wanted(3, "user_id", "[02468]$")]
+    return example_lines(table(spark, sf_dir, "events"), wanted, 3)
+
+
 # --- Whole reports ---------------------------------------------------------------------------------
 
 _STATIONS_REPORT = _report(

@@ -12,7 +12,7 @@ from queries.registry import scratch
 SF_DIR = Path("/root/testdata/sf0.001")
 WRITING = ("src_", "sink_", "ingest_", "metric_")
 #: A second scan fetches the few texts whose digests were found, by a join with that many rows.
-FETCHING = ("dq_duplicate_texts", "dq_duplicate_examples")
+FETCHING = ("dq_duplicate_texts", "dq_duplicate_examples", "dq_example_lines")
 
 
 def test_scratch_lies_in_the_shared_folder(spark):
