@@ -1,9 +1,10 @@
 """The configured run: read, validate, gate, transform, write, count.
 
 Two passes over the source do all of it: one for the whole quality report, one for the write. (Schema
-inference, if asked for, is a third.) Everything is analysed before the first of them, so a configuration that
-does not fit fails at once, and nothing fails after the write. Analytics read the written output where its
-format keeps the rows exactly; for other formats they are computed from the source, and a note says so.
+inference, if asked for, is a third, and so are bad rows that are kept apart.) Everything is analysed before the first of
+them, so a configuration that does not fit fails at once; a write that fails leaves the former output.
+Analytics read the written output where its format keeps the rows exactly. For other formats one more pass over the source
+counts all that is asked for into a small table beside the rows, from which every answer is read.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from qualitypipe.sources.csv import read_csv
 _SCAN_LIMITS = ("checks_per_scan", "keys_per_scan")
 # Formats whose files carry the schema, so that reading them back gives the written rows exactly.
 _SELF_DESCRIBING = {"parquet", "orc"}
-_FROM_SOURCE = "computed from the source, one scan per answer: this format does not keep the rows exactly"
+_FROM_SOURCE = "counted by one more scan of the source: this format does not keep the rows exactly"
+# Counts of a run whose output does not keep types. Readers of the output skip names that start so.
+_COUNTS_FOLDER = "_analytics"
 
 
 class ValidationError(ValueError):
@@ -95,6 +98,7 @@ def run_ingest(
     output = read_back(spark, transformed.frame, sink)
     analytics, _ = analyze(output, config.analytics)
     if analytics and output is transformed.frame:
+        analytics = _analyze_once(spark, output, config.analytics, sink)
         analytics_notes.append(StepNote(None, "analytics", sink.format, _FROM_SOURCE))
     return IngestResult(
         validation=validation,
@@ -138,19 +142,40 @@ def read_back(spark: SparkSession, written: DataFrame, sink: FileSink) -> DataFr
     return written
 
 
-def analyze(df: DataFrame, config: Mapping[str, Any]) -> tuple[dict[str, DataFrame], list[StepNote]]:
-    """``group_counts`` and ``top_n`` as configured, both lazy; columns that do not exist are noted."""
+def _analyze_once(spark: SparkSession, df: DataFrame, config: Mapping[str, Any], sink: FileSink) -> dict[str, DataFrame]:
+    """The answers of ``analyze`` from counts that one pass writes into a folder of the output."""
+    groupings, top, _ = _asked(df, config)
+    columns = list(dict.fromkeys([*groupings, *([top.column] if top else [])]))
+    path = f"{sink.path.rstrip('/')}/{_COUNTS_FOLDER}"
+    counted = an.counted_values(df, columns)
+    write_files(counted, path, "parquet")
+    counted = spark.read.schema(counted.schema).parquet(path)
     results = {}
+    if groupings:
+        results["group_counts"] = an.group_counts_of(counted, columns, groupings)
+    if top:
+        results["top_n"] = an.top_n_of(counted, columns, top.column, top.n)
+    return results
+
+
+def _asked(df: DataFrame, config: Mapping[str, Any]) -> tuple[list[str], TopN | None, list[str]]:
+    """The columns to group by and the top-n to take, as far as there are such columns, and the missing ones."""
     groupings = config.get("groupby_columns") or []
     if isinstance(groupings, str):
         raise ValueError("groupby_columns must be a list of names")
     top = from_config(TopN, config["top_n"]) if config.get("top_n") else None
     asked = [*groupings, *([top.column] if top else [])]
     missing = [column for column in dict.fromkeys(asked) if column not in df.columns]
-    present = [column for column in groupings if column not in missing]
-    if present:
-        results["group_counts"] = an.group_counts(df, present)
-    if top and top.column not in missing:
+    return [c for c in groupings if c not in missing], top if top and top.column not in missing else None, missing
+
+
+def analyze(df: DataFrame, config: Mapping[str, Any]) -> tuple[dict[str, DataFrame], list[StepNote]]:
+    """``group_counts`` and ``top_n`` as configured, both lazy; columns that do not exist are noted."""
+    groupings, top, missing = _asked(df, config)
+    results = {}
+    if groupings:
+        results["group_counts"] = an.group_counts(df, groupings)
+    if top:
         results["top_n"] = an.top_n(df, top.column, top.n)
     return results, [StepNote(None, "analytics", column, "column not found") for column in missing]
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -191,12 +192,37 @@ _ORDER_STEPS = [
     {"type": "drop_columns", "columns": ["o_custkey"]},
 ]
 
+_SINK_SQL = "SELECT s_suppkey, s_name, s_nationkey, s_acctbal, s_acctbal < 0 AS in_debt FROM supplier"
+
+
+def _failing_rerun(spark: SparkSession, sf_dir: str, file_format: str) -> DataFrame:
+    """What is there after a second write that fails: the rows of the first."""
+    supplier = table(spark, sf_dir, "supplier").selectExpr("s_suppkey", "s_name", "s_nationkey", "s_acctbal", "s_acctbal < 0 AS in_debt")
+    path = scratch(spark, f"sink_{file_format}_rerun")
+    write_files(supplier, path, file_format)
+    try:
+        write_files(supplier.withColumn("s_acctbal", F.expr("cast(s_name AS double)")), path, file_format)
+    except PySparkException:
+        return spark.read.format(file_format).schema(supplier.schema).load(path)
+    raise AssertionError("the second write should have failed")
+
+
+@query(_SINK_SQL)
+def sink_parquet_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _failing_rerun(spark, sf_dir, "parquet")
+
+
+@query(_SINK_SQL)
+def sink_csv_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _failing_rerun(spark, sf_dir, "csv")
+
+
 _ORDER_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate date, o_orderpriority string"
 _ORDER_COLUMNS = """o_orderkey, o_custkey, o_totalprice, cast(o_orderdate AS date) AS o_orderdate,
     nullif(o_orderpriority, '5-LOW') AS o_orderpriority"""
 
 
-def _ingest_orders(spark: SparkSession, sf_dir: str, name: str):
+def _ingest_orders(spark: SparkSession, sf_dir: str, name: str, file_format: str = "parquet", analytics: dict | None = None):
     orders = table(spark, sf_dir, "orders").selectExpr(*_split(_ORDER_COLUMNS))
     base = scratch(spark, name)
     config = {
@@ -207,7 +233,8 @@ def _ingest_orders(spark: SparkSession, sf_dir: str, name: str):
         },
         "quality_checks": {"rules": _ORDER_RULES, "checks_per_scan": 20},
         "transformation": {"transformations": _ORDER_STEPS},
-        "output": {"path": f"{base}/out", "format": "parquet"},
+        "output": {"path": f"{base}/out", "format": file_format},
+        "analytics": analytics or {},
     }
     return run_ingest(spark, config)
 
@@ -229,6 +256,25 @@ def ingest_generic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ingest_orders(spark, sf_dir, "ingest_generic").output
 
 
+_ORDER_ANALYTICS = {"groupby_columns": ["o_orderpriority", "year"], "top_n": {"column": "o_orderdate", "n": 5}}
+
+
+@query(
+    f"""
+    WITH written AS ({_ORDERS_OUT})
+    SELECT 'o_orderpriority' AS column_name, o_orderpriority AS value, count(*) AS "count" FROM written GROUP BY 2
+    UNION ALL SELECT 'year', CAST(year AS VARCHAR), count(*) FROM written GROUP BY year"""
+)
+def ingest_csv_group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a run that writes CSV, read from one table of counts."""
+    return _ingest_orders(spark, sf_dir, "ingest_csv_group_counts", "csv", _ORDER_ANALYTICS).analytics["group_counts"]
+
+
+@query(f'SELECT o_orderdate, count(*) AS "count" FROM ({_ORDERS_OUT}) AS written GROUP BY 1 ORDER BY 2 DESC, 1 ASC NULLS LAST LIMIT 5')
+def ingest_csv_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingest_orders(spark, sf_dir, "ingest_csv_top_n", "csv", _ORDER_ANALYTICS).analytics["top_n"]
+
+
 @query(
     f"""
     SELECT (SELECT count(*) FROM orders) AS rows_read, (SELECT count(*) FROM ({_ORDERS_OUT}) AS kept) AS rows_written,

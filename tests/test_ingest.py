@@ -182,9 +182,39 @@ def test_analytics_are_the_same_for_every_format(spark, config, file_format):
     counts = {(r.column_name, r.value): r["count"] for r in result.analytics["group_counts"].collect()}
     assert counts == {("tag", ""): 1, ("tag", "rye"): 2, ("big", "yes"): 1, ("big", "no"): 2}
     assert [tuple(r) for r in result.analytics["top_n"].collect()] == [("rye", 2)]
-    scanned = "harvest.csv" in "".join(result.analytics["top_n"].inputFiles())
+    for answer in result.analytics.values():
+        assert "harvest.csv" not in "".join(answer.inputFiles())
+        assert "harvest.csv" not in answer._jdf.queryExecution().executedPlan().toString()
     noted = [n.target for n in result.notes if n.step == "analytics"]
-    assert (scanned, noted) == ((False, []) if file_format in ("parquet", "orc") else (True, [file_format]))
+    assert noted == ([] if file_format in ("parquet", "orc") else [file_format])
+    assert spark.read.format(file_format).schema(result.output.schema).load(config["output"]["path"]).count() == 3
+
+
+def test_answers_for_csv_take_one_more_pass(spark, config):
+    """Report, write, and one pass for all answers; asking for them again reads the table of counts."""
+    config["output"]["format"] = "csv"
+    config["analytics"] = {"groupby_columns": ["big", "crop", "kilos"], "top_n": {"column": "picked", "n": 2}}
+    result = run_ingest(spark, config)
+    assert [tuple(r) for r in result.analytics["top_n"].collect()] == [(date(2022, 8, 1), 1), (date(2022, 8, 3), 1)]
+    found = {(r.column_name, r.value, r["count"]) for r in result.analytics["group_counts"].collect()}
+    assert ("kilos", "812", 1) in found and ("crop", None, 1) in found and not any(c == "picked" for c, _, _ in found)
+    again = run_ingest(spark, config)
+    assert again.analytics["top_n"].count() == 2
+
+
+@pytest.mark.parametrize("file_format", ["parquet", "orc", "csv", "json"])
+def test_a_failing_rerun_leaves_the_old_rows(spark, config, tmp_path, file_format):
+    config["output"]["format"] = file_format
+    config["quality_checks"] = {}
+    assert run_ingest(spark, config).rows_written == 3
+    steps = config["transformation"]["transformations"]
+    config["transformation"]["transformations"] = [*steps, {"type": "add_columns", "columns": {"bad": "cast(crop AS int)"}}]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        run_ingest(spark, config)
+    left = spark.read.format(file_format).load(config["output"]["path"])
+    assert left.count() == 3
+    assert "bad" not in left.columns
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["harvest.csv", "out"]
 
 
 def test_analytics_on_columns_that_do_not_exist_are_noted(spark, config):
@@ -296,8 +326,8 @@ def test_unquoted_coordinates_shift_the_row(spark, stations_csv, tmp_path):
 
 
 def test_a_run_takes_few_jobs(spark, stations_csv, tmp_path):
-    """Report and write, plus what adaptive execution splits off at the report's shuffles."""
+    """Report, write and the count of the written rows in the footers, plus what adaptive execution splits off at shuffles."""
     config = stations_config(stations_csv, str(tmp_path / "out"))
     before = set(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
     jobs = set(_jobs(spark, lambda: run_ingest(spark, config))) - before
-    assert 2 <= len(jobs) <= 4
+    assert 2 <= len(jobs) <= 6

@@ -3,6 +3,8 @@ from __future__ import annotations
 import pytest
 
 from qualitypipe import count_by, group_counts, preview, top_n, write_files
+from qualitypipe.operators.analytics import counted_values, group_counts_of, top_n_of
+from qualitypipe.sinks import files
 
 
 @pytest.fixture(scope="module")
@@ -42,6 +44,64 @@ def test_written_rows_after_a_shuffle(spark, towns, tmp_path):
     assert write_files(towns.groupBy("city").count(), str(tmp_path / "out")) == 5
 
 
+@pytest.mark.parametrize("file_format", ["parquet", "orc", "csv", "json"])
+def test_a_failing_write_leaves_the_old_rows(spark, towns, tmp_path, file_format):
+    path = str(tmp_path / "out")
+    write_files(towns, path, file_format)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        write_files(towns.selectExpr("cast(city AS int) AS city", "size"), path, file_format)
+    assert spark.read.format(file_format).schema(towns.schema).load(path).count() == 10
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_a_failing_first_write_leaves_nothing(towns, tmp_path):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        write_files(towns.selectExpr("cast(city AS int) AS city"), str(tmp_path / "deep" / "out"))
+    assert list((tmp_path / "deep").iterdir()) == []
+
+
+def test_a_failing_swap_puts_the_old_rows_back(spark, towns, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    write_files(towns, path)
+    renames = []
+
+    def rename_to(folder, other):
+        renames.append(str(other))
+        if len(renames) == 2:
+            raise files.WriteError("no")
+        assert folder.system.rename(folder.path, other.path)
+
+    monkeypatch.setattr(files._Folder, "rename_to", rename_to)
+    with pytest.raises(files.WriteError):
+        write_files(towns.limit(1), path)
+    assert len(renames) == 3
+    assert spark.read.parquet(path).count() == 10
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_a_file_in_the_place_of_the_target_and_a_trailing_slash(spark, towns, tmp_path):
+    (tmp_path / "out").write_text("old")
+    assert write_files(towns, f"{tmp_path}/out/") == 10
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 10
+
+
+def test_own_rows_can_be_rewritten(spark, towns, tmp_path):
+    path = str(tmp_path / "out")
+    write_files(towns, path)
+    assert write_files(spark.read.parquet(path).filter("size = 1"), path) == 5
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_answers_from_one_table_of_counts(towns):
+    counted = counted_values(towns, ["city", "size"])
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert same(group_counts_of(counted, ["city", "size"], ["size"]), group_counts(towns, ["size"]))
+    assert same(group_counts_of(counted, ["city", "size"]), group_counts(towns, ["city", "size"]))
+    for column in ("city", "size"):
+        assert top_n_of(counted, ["city", "size"], column, 3).collect() == top_n(towns, column, 3).collect()
+        assert top_n_of(counted, ["city", "size"], column).schema == top_n(towns, column).schema
+
+
 def test_preview(towns):
     assert preview(towns).count() == 5
     assert preview(towns, 2).count() == 2
