@@ -20,7 +20,7 @@ from qualitypipe.plans.stations import (
     transform_stations,
 )
 from qualitypipe.sinks.files import preview, write_files
-from qualitypipe.sources.csv import read_csv
+from qualitypipe.sources.csv import read_csv, split_bad_rows
 
 __all__ = [
     "IngestResult",
@@ -39,6 +39,7 @@ __all__ = [
     "read_csv",
     "read_stations",
     "run_ingest",
+    "split_bad_rows",
     "stations_config",
     "stations_profile",
     "summarize",

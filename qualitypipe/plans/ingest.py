@@ -22,7 +22,7 @@ from qualitypipe.operators import analytics as an
 from qualitypipe.operators import quality as dq
 from qualitypipe.operators.steps import StepNote, apply_steps
 from qualitypipe.sinks.files import FileSink, write_files
-from qualitypipe.sources.csv import read_csv
+from qualitypipe.sources.csv import CsvSource, read_csv, split_bad_rows
 
 _SCAN_LIMITS = ("checks_per_scan", "keys_per_scan")
 # Formats whose files carry the schema, so that reading them back gives the written rows exactly.
@@ -64,6 +64,7 @@ class IngestResult:
     notes: list[StepNote]
     rows_read: int
     rows_written: int
+    rows_bad: int
     raw: DataFrame
     output: DataFrame
     analytics: dict[str, DataFrame]
@@ -77,7 +78,10 @@ def run_ingest(
     """Run a configuration. The session is the caller's: its section ``spark`` is left alone."""
     if not isinstance(config, IngestConfig):
         config = from_config(IngestConfig, config, ignore=("spark",))
-    raw = read_csv(spark, config.ingestion)
+    source = from_config(CsvSource, config.ingestion)
+    raw, bad = read_csv(spark, source), None
+    if source.bad_rows_path:
+        raw, bad = split_bad_rows(raw, source.bad_row)
 
     rules = [dq.parse_rule(rule) for rule in config.quality_checks.get("rules") or []]
     limits = {key: config.quality_checks[key] for key in _SCAN_LIMITS if config.quality_checks.get(key)}
@@ -85,6 +89,10 @@ def run_ingest(
     sink = from_config(FileSink, config.output)
     _check_names(transformed.frame)
     _check_paths(spark, raw, sink.path)
+    if bad is not None:
+        _check_paths(spark, raw, source.bad_rows_path)
+        if _inside(spark, sink.path, source.bad_rows_path) or _inside(spark, source.bad_rows_path, sink.path):
+            raise ValueError("bad_rows_path and the output path may not hold each other")
     _, analytics_notes = analyze(transformed.frame, config.analytics)
 
     validation = dq.validate(raw, rules, **limits)
@@ -94,6 +102,7 @@ def run_ingest(
     wanted = failed_for_examples(rules, validation)
     examples, example_lines = failure_examples(raw, wanted), dq.example_lines(raw, wanted)
 
+    rows_bad = 0 if bad is None else write_files(bad, source.bad_rows_path, "text")
     rows_written = write_files(transformed.frame, sink.path, sink.format)
     output = read_back(spark, transformed.frame, sink)
     analytics, _ = analyze(output, config.analytics)
@@ -105,6 +114,7 @@ def run_ingest(
         notes=transformed.notes + analytics_notes,
         rows_read=rows_read,
         rows_written=rows_written,
+        rows_bad=rows_bad,
         raw=raw,
         output=output,
         analytics=analytics,
@@ -124,13 +134,21 @@ def _check_names(df: DataFrame) -> None:
 
 def _check_paths(spark: SparkSession, raw: DataFrame, output: str) -> None:
     """The write replaces its path, so it may not hold what is read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(output)
-    qualified = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(path)
-    target = _plain(qualified.toUri().toString())
+    target = _qualified(spark, output)
     if any(_plain(name) == target or _plain(name).startswith(f"{target}/") for name in raw.inputFiles()):
         raise ValueError(f"the output path {output} holds input files")
 
 
+def _inside(spark: SparkSession, outer: str, inner: str) -> bool:
+    return f"{_qualified(spark, inner)}/".startswith(f"{_qualified(spark, outer)}/")
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return _plain(system.makeQualified(hadoop).toUri().toString())
+
+
 def _plain(uri: str) -> str:
     return re.sub(r"^(\w+):/+", r"\1:/", uri).rstrip("/")
 

@@ -197,3 +197,35 @@ def step_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def step_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["o_orderpriority", "o_orderkey"]
     return _orders(spark, sf_dir, {"type": "select_columns", "columns": columns})
+
+
+@query(
+    """
+    SELECT o_orderkey, o_custkey, o_totalprice, rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC) AS place,
+      count(*) OVER (PARTITION BY o_custkey) AS orders
+    FROM orders QUALIFY rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC) <= 3"""
+)
+def step_add_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window functions in ``add_columns``, partitioned, so that the work is spread by customer."""
+    columns = {
+        "place": "cast(rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC) AS bigint)",
+        "orders": "count(1) OVER (PARTITION BY o_custkey)",
+    }
+    steps = [{"type": "add_columns", "columns": columns}, {"type": "filter_rows", "condition": "place <= 3"}]
+    return _orders(spark, sf_dir, *steps).select("o_orderkey", "o_custkey", "o_totalprice", "place", "orders")
+
+
+@query(
+    """
+    SELECT o_orderkey, o_custkey FROM orders
+    WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)
+      AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 45)"""
+)
+def step_filter_subquery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subqueries in ``filter_rows``, over views of the session; they are planned as semi-joins."""
+    for name in ("customer", "lineitem"):
+        table(spark, sf_dir, name).createOrReplaceTempView(f"step_filter_{name}")
+    condition = """
+        o_custkey IN (SELECT c_custkey FROM step_filter_customer WHERE c_acctbal < 0)
+        AND EXISTS (SELECT 1 FROM step_filter_lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 45)"""
+    return _orders(spark, sf_dir, {"type": "filter_rows", "condition": condition}).select("o_orderkey", "o_custkey")

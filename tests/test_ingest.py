@@ -190,6 +190,29 @@ def test_analytics_are_the_same_for_every_format(spark, config, file_format):
     assert spark.read.format(file_format).schema(result.output.schema).load(config["output"]["path"]).count() == 3
 
 
+def test_bad_rows_are_kept_apart(spark, config, tmp_path):
+    source = tmp_path / "harvest.csv"
+    source.write_text(HARVEST + "D4,rye,7\nD5,rye,8,2022-08-20,1,more\n", encoding="utf-8")
+    del config["ingestion"]["schema"]
+    config["ingestion"]["bad_rows_path"] = str(tmp_path / "bad")
+    config["quality_checks"] = {}
+    result = run_ingest(spark, config)
+    assert (result.rows_read, result.rows_bad, result.rows_written) == (5, 2, 3)
+    assert result.raw.columns == ["plot", "crop", "kilos", "picked", "count"]
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "bad")).collect()) == ["D4,rye,7", "D5,rye,8,2022-08-20,1,more"]
+    # and a second run after they were mended
+    source.write_text(HARVEST, encoding="utf-8")
+    assert run_ingest(spark, config).rows_bad == 0
+    assert spark.read.text(str(tmp_path / "bad")).count() == 0
+
+
+@pytest.mark.parametrize("bad", ["out", "out/bad", "."])
+def test_bad_rows_do_not_overwrite_input_or_output(spark, config, tmp_path, bad):
+    config["ingestion"]["bad_rows_path"] = str(tmp_path) if bad == "." else str(tmp_path / bad)
+    with pytest.raises(ValueError, match="input files|each other"):
+        run_ingest(spark, config)
+
+
 def test_answers_for_csv_take_one_more_pass(spark, config):
     """Report, write, and one pass for all answers; asking for them again reads the table of counts."""
     config["output"]["format"] = "csv"
