@@ -1,19 +1,30 @@
 """Near-duplicate groups by HyperMinHash, banding and verification on full shingle sets.
 
-A document is the set of its distinct five-word shingles (A-Z lower-cased words; fewer than five words are one shingle). Documents
-with the same set form a class, and one row stands for it from then on. Each set has 384 registers. A register has a hash of its
+A document is the set of its distinct five-word shingles (A-Z lower-cased words; fewer than five words are one shingle). Rows
+with the same set form a class, and one node stands for it from then on. Each set has 384 registers. A register has a hash of its
 own, and keeps of the smallest value only the number of leading zeros (6 bits) and the 10 bits behind the first one.
 Six registers are packed into the 64-bit key of a band, 64 bands in all; sets with a Jaccard similarity of 0.75 agree in a band but
 for 4 in a million. Register agreement, corrected for accidental collisions of compressed registers, estimates the similarity;
 candidates below 0.64 (five standard deviations from 0.75) are left out and all others are verified on their full sets.
 
-Pairs within a band's bucket are never listed as such. Every member is first compared with its bucket's smallest and largest member
-only; in rounds, each document with the hub estimated most similar whose component is still another, and what links is joined into
-components. Then only pairs across components are left: further hubs; all such pairs in small buckets; and for large ones
-that hold several components, an exact prefix-filter join on shingles, rarest first, of the documents in them. So no bucket is cut, and none goes to one task.
+Pairs within a band's bucket are never listed as such.
 
-Defined results: null and empty texts have no shingle and are linked with nothing. Rows with equal ids are one document; a null
-id is linked with nothing, and its component is null and it is kept. Only id and text are read, so other columns may have any name.
+1. Each member is compared with its bucket's hub: the member that shares most buckets with others, so that one hub serves
+   most buckets of a group. What links is joined into components. In further rounds, the members that are not in their hub's
+   component get a hub of their own.
+2. Then only pairs across components count. A shingle crosses if documents of several components hold it; a document can be
+   similar to one of another component only if it has as many crossing shingles as that takes. Documents without enough of
+   them leave, and others may then have too few, until none does. This bound is exact and needs no pairs.
+3. Of what is left, pairs across components that share a bucket are estimated and verified: all in small buckets; for the documents of
+   large ones, those that an exact prefix-filter join on shingles, rarest first, finds. Prefixes are as long as the sizes of a
+   pair demand: a document that is not similar to a group's hub has only shingles there that the hub lacks.
+
+So no bucket is cut, none goes to one task, and the work of a group of copies grows with its size.
+
+Defined results: null and empty texts have no shingle and are linked with nothing. Rows may share an id: they are documents of
+their own, linked by their texts like others; a null id is linked with nothing, and its component is null and it is kept. Ids may be
+of any type that has an order. Of equally popular hubs one is taken; that changes no result. Very long texts are sets like others, built in blocks.
+An empty table gives no rows. Only id and text are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -24,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qualitypipe.llm.shared import Block, blocks, lower_bytes, mix, written
+from qualitypipe.llm.shared import Block, Scratch, blocks, lower_bytes, mix, written
 
 SHINGLE = 5
 NEED, OF = 75, 100  # shared * OF >= NEED * all
@@ -32,8 +43,8 @@ REGISTERS, BAND = 384, 6
 BANDS = REGISTERS // BAND
 MANTISSA = 10
 ESTIMATE = 0.64
-#: Times each document tries another hub before all that is left is verified.
-ROUNDS = 4
+#: Times that members try a hub, and that documents with too few crossing shingles leave, before all that is left is compared.
+ROUNDS, LEAVING = 3, 4
 #: Buckets of several components with more members than this are joined by shingles instead of pair by pair.
 FEW_COMPONENTS = 48
 #: Beyond so many ids (8 bytes each), documents are joined by shuffle rather than with a table sent to all tasks.
@@ -68,7 +79,7 @@ def shingle_sets(block: Block) -> list[np.ndarray]:
 
 
 def registers(found: np.ndarray) -> np.ndarray:
-    """The 128 compressed minima of a set, as 16-bit numbers."""
+    """The compressed minima of a set, as 16-bit numbers."""
     least = np.full(REGISTERS, np.uint64(0xFFFFFFFFFFFFFFFF))
     for at in range(0, len(found), 2048):  # a bounded table of values, whatever the set's size
         least = np.minimum(least, ((found[at : at + 2048, None] ^ _SALTS) * _FACTORS).min(axis=0))
@@ -87,18 +98,18 @@ def set_key(found: np.ndarray) -> tuple[int, int]:
 
 
 def sketch(batches):
-    """(id, n, key_a, key_b, registers) of each document."""
+    """(id, row, n, key_a, key_b, registers) of each document."""
     for block in blocks(batches, "_text"):
         sets = shingle_sets(block)
         keys = [set_key(s) for s in sets]
-        columns = [block.rows.column("id"), pa.array([len(s) for s in sets], pa.int64())]
+        columns = [block.rows.column("id"), block.rows.column("row"), pa.array([len(s) for s in sets], pa.int64())]
         columns += [pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)]
         columns.append(pa.array([registers(s).view(np.int16) if len(s) else None for s in sets], pa.list_(pa.int16())))
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "key_a", "key_b", "registers"])
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "row", "n", "key_a", "key_b", "registers"])
 
 
 def banded(batches):
-    """(band key, id) of each set: the registers of a band hashed together with its number."""
+    """(band key, node) of each set: the registers of a band hashed together with its number."""
     number = mix(np.arange(BANDS, dtype=np.uint64) + np.uint64(1))
     for batch in batches:
         if not batch.num_rows:
@@ -107,8 +118,8 @@ def banded(batches):
         keys = np.broadcast_to(number, values.shape[:2])
         for k in range(BAND):
             keys = mix(keys + values[:, :, k] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k))
-        ids = np.repeat(batch.column("id").to_numpy(zero_copy_only=False), BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)], names=["band", "id"])
+        nodes = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), BANDS)
+        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(nodes)], names=["band", "node"])
 
 
 def estimated(agree, n, m):
@@ -130,149 +141,219 @@ def similar(a: str, b: str) -> Column:
     return OF * shared >= NEED * (F.size(a) + F.size(b) - shared)
 
 
-def _with_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, found) of the documents asked for; their sets are built anew from the texts."""
+def _sets(texts: DataFrame, classes: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, found) of the nodes asked for: the sets, built once more from the text of one row of each class."""
 
     def sets(batches):
         for block in blocks(batches, "_text"):
-            found = [s.view(np.int64) for s in shingle_sets(block)]
-            yield pa.RecordBatch.from_arrays([block.rows.column("id"), pa.array(found, pa.list_(pa.int64()))], names=["id", "found"])
-
-    wanted = ids.withColumnRenamed("id", "_id")
-    if wanted.limit(FEW_IDS + 1).count() <= FEW_IDS:
-        wanted = F.broadcast(wanted)
-    chosen = docs.join(wanted, F.col("id") == F.col("_id"), "left_semi")
-    return chosen.mapInArrow(sets, T.StructType([docs.schema["id"], T.StructField("found", T.ArrayType(T.LongType()))]))
+            found = shingle_sets(block)
+            keys = [set_key(s) for s in found]
+            columns = [block.rows.column("row"), *(pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], names=["row", "key_a", "key_b", "found"])
+
+    wanted = scratch.written(classes.join(nodes, "node", "left_semi").select("row", "key_a", "key_b", "node"), "wanted")
+    number = wanted.count()
+    small = F.broadcast(wanted) if number <= FEW_IDS else wanted
+    chosen = texts.join(small.select("row"), "row", "left_semi").select("row", "_text")
+    built = chosen.mapInArrow(sets, "row long, key_a long, key_b long, found array<long>")
+    found = scratch.written(built.join(small, ["row", "key_a", "key_b"]).select("node", "found"), "sets")
+    if found.count() == number:
+        return found
+    return scratch.written(found.dropDuplicates(["node"]), "sets")  # exact repeats of rows
+
+
+def _verified(sets: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
+    left = sets.select(F.col("node").alias("a"), F.col("found").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("found").alias("y"))
+    return scratch.written(pairs.join(left, "a").join(right, "b").filter(similar("x", "y")).select("a", "b").distinct(), "links")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), f"{name}-ids")
-    sets = written(_with_sets(docs, ids), f"{name}-sets")
-    left = sets.select(F.col("id").alias("a"), F.col("found").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("found").alias("y"))
-    return written(pairs.join(left, "a").join(right, "b").filter(similar("x", "y")).select("a", "b").distinct(), f"{name}-links")
-
-
-def components(links: DataFrame) -> DataFrame:
-    """(id, root): the smallest id each linked id can reach. Labels fall to the neighbours' smallest, then to their label's label."""
-    both = links.select(F.col("a").alias("id"), F.col("b").alias("to")).unionByName(links.select(F.col("b").alias("id"), F.col("a").alias("to")))
-    edges = written(both.filter("id <> to").distinct(), "edges")
-    labels = written(edges.groupBy("id").agg(F.min("to").alias("m")).select("id", F.least("id", "m").alias("root")), "labels")
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, root): the smallest node each linked one can reach. Labels fall to the neighbours' smallest, then to their label's label."""
+    both = links.select(F.col("a").alias("node"), F.col("b").alias("to")).unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("to")))
+    edges = scratch.written(both.filter("node <> to").distinct(), "edges")
+    labels = scratch.written(edges.groupBy("node").agg(F.min("to").alias("m")).select("node", F.least("node", "m").alias("root")), "labels")
     while True:
-        seen = edges.join(labels.select(F.col("id").alias("to"), "root"), "to").groupBy("id").agg(F.min("root").alias("near"))
-        lowered = labels.join(seen, "id").select("id", F.col("root").alias("old"), F.least("root", "near").alias("mid"))
-        jump = labels.select(F.col("id").alias("mid"), F.col("root").alias("far"))
-        moved = lowered.join(jump, "mid", "left").select("id", "old", F.least("mid", F.coalesce("far", "mid")).alias("root"))
-        moved = written(moved, "labels")
+        seen = edges.join(labels.select(F.col("node").alias("to"), "root"), "to").groupBy("node").agg(F.min("root").alias("near"))
+        lowered = labels.join(seen, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("mid"))
+        jump = labels.select(F.col("node").alias("mid"), F.col("root").alias("far"))
+        moved = lowered.join(jump, "mid", "left").select("node", "old", F.least("mid", F.coalesce("far", "mid")).alias("root"))
+        moved = scratch.written(moved, "labels")
         if not moved.filter("root <> old").limit(1).count():
-            return moved.select("id", "root")
-        labels = moved.select("id", "root")
+            return moved.select("node", "root")
+        labels = moved.select("node", "root")
 
 
-def _labelled(rows: DataFrame, roots: DataFrame, column: str, name: str) -> DataFrame:
-    """Adds the component of an id; without links an id is its own."""
-    found = roots.select(F.col("id").alias(column), F.col("root").alias("_root"))
+def _labelled(rows: DataFrame, roots: DataFrame | None, column: str = "node", name: str = "root") -> DataFrame:
+    """Adds the component of a node; without links a node is its own."""
+    if roots is None:
+        return rows.withColumn(name, F.col(column))
+    found = roots.select(F.col("node").alias(column), F.col("root").alias("_root"))
     return rows.join(found, column, "left").withColumn(name, F.coalesce("_root", column)).drop("_root")
 
 
-def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose components differ."""
-    return _labelled(_labelled(pairs, roots, "a", "ra"), roots, "b", "rb").filter("ra <> rb").drop("ra", "rb")
-
-
 def _estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs (a, b) with their estimate, those that may be similar."""
-    left = sketches.select(F.col("id").alias("a"), F.col("registers").alias("x"), F.col("n").alias("na"))
-    right = sketches.select(F.col("id").alias("b"), F.col("registers").alias("y"), F.col("n").alias("nb"))
+    left = sketches.select(F.col("node").alias("a"), F.col("registers").alias("x"), F.col("n").alias("na"))
+    right = sketches.select(F.col("node").alias("b"), F.col("registers").alias("y"), F.col("n").alias("nb"))
     both = pairs.join(left, "a").join(right, "b").filter(F.least("na", "nb") * OF >= F.greatest("na", "nb") * NEED)
     return both.select("a", "b", estimate("x", "y", "na", "nb").alias("estimate")).filter(F.col("estimate") >= ESTIMATE)
 
 
-def prefixes(sets: DataFrame) -> DataFrame:
-    """(token, id): of each set the rarest shingles, as many as similar sets must share one of."""
-    tokens = sets.select("id", F.explode("tokens").alias("token"))
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _crossing(sets: DataFrame, placed: DataFrame, scratch: Scratch) -> DataFrame:
+    """(band, node, root, n) of ``placed`` whose documents may be similar to one of another component."""
+    for _ in range(LEAVING):
+        spread = placed.groupBy("band").agg(F.count_distinct("root").alias("roots"), F.min("n").alias("least")).filter("roots > 1")
+        placed = placed.join(spread.drop("roots"), "band")
+        # what it takes with the smallest partner m that there may be
+        held = scratch.written(placed.groupBy("node").agg(F.first("root").alias("root"), F.first("n").alias("n"), F.min(_partner("n", "least")).alias("m")), "held")
+        tokens = sets.join(held, "node").select("node", "root", F.explode("found").alias("token"))
+        crossing = tokens.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token")
+        shared = tokens.join(crossing, "token").groupBy("node").agg(F.count("*").alias("shared"))
+        enough = F.col("shared") >= _needed("n", "m")
+        stay = scratch.written(held.join(shared, "node").filter(enough).select("node"), "stay")
+        before, after = held.count(), stay.count()
+        placed = scratch.written(placed.select("band", "node", "root", "n").join(stay, "node", "left_semi"), "placed")
+        if after == before or not after:
+            break
+    return placed
+
+
+def _needed(n: str, m: str) -> Column:
+    """Shingles that sets of n and m must share: shared * OF >= NEED * (n + m - shared)."""
+    return F.expr(f"(({n} + {m}) * {NEED} + {OF + NEED - 1}) div {OF + NEED}")
+
+
+def _partner(n: str, least: str) -> Column:
+    """The smallest size that a set similar to one of n has, if ``least`` is the smallest there is."""
+    return F.greatest(F.col(least), F.expr(f"({n} * {NEED} + {OF - 1}) div {OF}"))
+
+
+def prefixes(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(token, node, root, n, place): of each set the rarest shingles, as many as it must share one of with a set of ``m`` or more."""
+    tokens = sets.join(nodes.select("node"), "node", "left_semi").select("node", F.explode("found").alias("token"))
     often = tokens.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1")
-    counted = tokens.join(often, "token", "left").select("id", F.struct(F.coalesce("k", F.lit(1)).alias("k"), "token").alias("t"))
-    ordered = counted.groupBy("id").agg(F.sort_array(F.collect_list("t")).alias("all"))
-    length = F.size("all") - F.ceil(F.size("all") * (NEED / OF) - 1e-9).cast("int") + 1
-    return ordered.select("id", F.explode(F.slice("all", F.lit(1), length)).alias("t")).filter("t.k > 1").select("id", "t.token")
+    counted = tokens.join(often, "token", "left").select("node", F.struct(F.coalesce("k", F.lit(1)).alias("k"), "token").alias("t"))
+    ordered = counted.groupBy("node").agg(F.sort_array(F.collect_list("t")).alias("all")).join(nodes, "node")
+    first = F.slice("all", F.lit(1), (F.col("n") - _needed("n", "m") + 1).cast("int"))
+    rows = ordered.select("node", "root", "n", F.posexplode(first).alias("place", "t"))
+    return rows.filter("t.k > 1").select("t.token", "node", "root", "n", "place")
 
 
-def _by_shingles(docs: DataFrame, ids: DataFrame, roots: DataFrame) -> DataFrame:
-    """All pairs across components of the given documents that share a shingle of their prefixes."""
-    sets = _with_sets(docs, ids).withColumnRenamed("found", "tokens")
-    kept = written(_labelled(prefixes(written(sets, "dense-sets")), roots, "id", "root"), "dense-prefixes")
+def _by_shingles(sets: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """All pairs across components that share a shingle of their prefixes; of the given nodes (node, root, n, and m, the
+    size of the smallest set that may be similar). The sizes of a pair say how long its prefixes are."""
+    kept = scratch.written(prefixes(sets, nodes), "prefixes")
     mixed = kept.groupBy("token").agg((F.min("root") < F.max("root")).alias("mixed")).filter("mixed").select("token")
     kept = kept.join(mixed, "token", "left_semi")
-    left = kept.select("token", F.col("id").alias("a"), F.col("root").alias("ra"))
-    right = kept.select("token", F.col("id").alias("b"), F.col("root").alias("rb"))
-    return left.join(right, "token").filter("ra < rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id, kept) of every row of ``docs``."""
-    texts = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("_text"))
-    schema = T.StructType([texts.schema["id"], *(T.StructField(c, T.LongType()) for c in ("n", "key_a", "key_b")), T.StructField("registers", T.ArrayType(T.ShortType()))])
-    every = written(texts.mapInArrow(sketch, schema), "sketches")
-    linked = every.filter("n > 0 and id is not null")
-    first = F.min_by(F.struct("n", "registers"), "id").alias("s")
-    classes = written(linked.groupBy("key_a", "key_b").agg(F.min("id").alias("id"), first).select("key_a", "key_b", "id", "s.*"), "classes")
-    sets = classes.select("id", "n", "registers")
-    source = texts.filter("id is not null")
-
-    bands = written(sets.select("id", "registers").mapInArrow(banded, T.StructType([T.StructField("band", T.LongType()), texts.schema["id"]])), "bands")
-    ends = [F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("size")]
-    members = written(bands.join(bands.groupBy("band").agg(*ends).filter("size > 1"), "band").select("band", "id", "low", "high"), "members")
-    to_hub = [members.filter(F.col("id") != F.col(hub)).select(F.least("id", hub).alias("a"), F.greatest("id", hub).alias("b")) for hub in ("low", "high")]
-    near = written(_estimated(to_hub[0].unionByName(to_hub[1]).distinct(), sets), "stars")
-    links, roots, others = None, None, near
+    left, right = (kept.select("token", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "root", "n", "place"))) for side in "xy")
+    needed = _needed("x_n", "y_n")
+    sizes = F.least("x_n", "y_n") * OF >= F.greatest("x_n", "y_n") * NEED
+    within = sizes & (F.col("x_place") <= F.col("x_n") - needed) & (F.col("y_place") <= F.col("y_n") - needed)
+    return left.join(right.withColumnRenamed("token", "_token"), (F.col("token") == F.col("_token")) & (F.col("x_root") < F.col("y_root")) & within).select(*_pair("x_node", "y_node")).distinct()
+
+
+def _links(members: DataFrame, sketches: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """Components (node, root) of the nodes in shared buckets; None without links."""
+    size = members.groupBy("band").agg(F.count("*").alias("size"))
+    popular = members.join(size, "band").groupBy("node").agg(F.sum("size").alias("popular"))
+    open_members = scratch.written(members.join(popular, "node").join(sketches.select("node", "n"), "node"), "popular")
+    roots, links = None, None
+    apart = open_members
     for _ in range(ROUNDS):
-        best = others.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a")).select("a", "b")
-        found = _verified(source, best, "best")
+        best = F.max_by("node", F.struct("popular", "node"))
+        hubs = apart.groupBy("band").agg(best.alias("hub"), F.count("*").alias("size")).filter("size > 1").drop("size")
+        pairs = apart.join(hubs, "band").filter("node <> hub").select(*_pair("node", "hub")).distinct()
+        pairs = _labelled(_labelled(pairs, roots, "a", "ra"), roots, "b", "rb").filter("ra <> rb").select("a", "b")
+        near = scratch.written(_estimated(pairs, sketches).select("a", "b"), "near")
+        found = _verified(sets, near, scratch)
         links = found if links is None else links.unionByName(found)
-        roots = components(links)
-        others = written(_across(others.join(best, ["a", "b"], "left_anti"), roots), "others")
-        if not others.limit(1).count():
+        roots = components(links, scratch)
+        # who is not in the hub's component tries another hub next
+        placed = _labelled(apart.join(hubs, "band"), roots)
+        apart = _labelled(placed, roots, "hub", "hub_root").filter("root <> hub_root").select("band", "node", "popular", "n")
+        apart = scratch.written(apart, "apart")
+        if not apart.limit(1).count():
             break
-    others = others.select("a", "b")
-
-    # what is left: pairs across components that share a bucket
-    placed = written(_labelled(members.select("band", "id"), roots, "id", "root"), "placed")
-    spread = placed.groupBy("band").agg(F.count_distinct("root").alias("roots"), F.count("*").alias("size")).filter("roots > 1")
+    placed = scratch.written(_labelled(open_members.select("band", "node", "n"), roots), "placed")
+    placed = _crossing(sets, placed, scratch)
+    sized = placed.groupBy("band").agg(F.count("*").alias("size"), F.count_distinct("root").alias("roots")).filter("roots > 1")
+    sized = scratch.written(placed.join(sized.drop("roots"), "band"), "sized")
     # pairs of a small bucket are at most FEW_COMPONENTS for each member
     few = F.col("size") <= FEW_COMPONENTS
-    mixed = placed.join(spread, "band")
-    small, dense = mixed.filter(few), mixed.filter(~few)
-    x = small.select("band", F.col("id").alias("a"), F.col("root").alias("ra"))
-    y = small.select("band", F.col("id").alias("b"), F.col("root").alias("rb"))
-    pairs = x.join(y, "band").filter("a < b and ra <> rb").select("a", "b")
-    dense_ids = written(dense.select("id").distinct(), "dense-ids")
-    more = [others, _estimated(pairs.distinct().join(near, ["a", "b"], "left_anti"), sets).select("a", "b")]
-    if dense_ids.limit(1).count():
-        more.append(_estimated(_by_shingles(source, dense_ids, roots), sets).select("a", "b"))
-    rest = more[0]
-    for frame in more[1:]:
-        rest = rest.unionByName(frame)
-    rest = written(rest.distinct(), "rest")
-    if rest.limit(1).count():
-        roots = components(links.unionByName(_verified(source, rest, "rest")))
-
-    final = _labelled(classes.select("key_a", "key_b", "id"), roots, "id", "component_id").select("key_a", "key_b", "component_id")
-    joined = every.join(final.groupBy("key_a", "key_b").agg(F.min("component_id").alias("component_id")), ["key_a", "key_b"], "left")
-    component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.when(F.col("id").isNotNull(), F.col("component_id")))
-    found = joined.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
-    return found.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
-
-
-def deduplicated(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` with one document of each group; of rows that repeat an id, one."""
-    dropped = written(groups(docs, key).filter("not kept").select(F.col(key).alias("_dropped")).distinct(), "dropped")
-    few = dropped.limit(FEW_IDS + 1).count() <= FEW_IDS
-    kept = docs.join(F.broadcast(dropped) if few else dropped, docs[key] == dropped["_dropped"], "left_anti")
-    repeated = docs.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").select(F.col(key).alias("_again"))
-    if not repeated.limit(1).count():
-        return kept
-    repeated = written(repeated, "repeated")
-    once = kept.join(repeated, kept[key] == repeated["_again"], "left_semi").dropDuplicates([key])
-    return kept.join(repeated, kept[key] == repeated["_again"], "left_anti").unionByName(once)
+    x = sized.filter(few).select("band", F.col("node").alias("x"), F.col("root").alias("rx"))
+    y = sized.filter(few).select("band", F.col("node").alias("y"), F.col("root").alias("ry"))
+    rest = x.join(y, "band").filter("rx < ry").select(*_pair("x", "y")).distinct()
+    dense = sized.join(sized.groupBy("band").agg(F.min("n").alias("least")), "band").filter(~few)
+    dense = scratch.written(dense.groupBy("node").agg(F.first("root").alias("root"), F.first("n").alias("n"), F.min(_partner("n", "least")).alias("m")), "dense")
+    if dense.limit(1).count():
+        rest = rest.unionByName(_by_shingles(sets, dense, scratch)).distinct()
+    near = scratch.written(_estimated(rest, sketches).select("a", "b"), "rest")
+    if near.limit(1).count():
+        roots = components(links.unionByName(_verified(sets, near, scratch)), scratch)
+    return roots
+
+
+def _grouped(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, row, n, root, component): a written table with a line for every row of ``docs``. ``row`` is a hash of id and text,
+    ``root`` a number of the group, which tells groups apart whose smallest ids are equal."""
+    texts = docs.select(F.col(key).alias("id"), F.xxhash64(F.col(key), F.col(text)).alias("row"), F.col(text).cast("binary").alias("_text"))
+    longs = [T.StructField(c, T.LongType()) for c in ("row", "n", "key_a", "key_b")]
+    with Scratch(docs.sparkSession, "near-dedup") as scratch:
+        schema = T.StructType([texts.schema["id"], *longs, T.StructField("registers", T.ArrayType(T.ShortType()))])
+        every = scratch.written(texts.mapInArrow(sketch, schema), "sketches")
+        linked = every.filter("n > 0 and id is not null")
+        first = F.min_by(F.struct("row", "n", "registers"), "row").alias("s")
+        classes = linked.groupBy("key_a", "key_b").agg(F.min("id").alias("least"), first).select("key_a", "key_b", "least", "s.*")
+        # numbers that the written table fixes
+        classes = scratch.written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+        sketches = classes.select("node", "n", "registers")
+        bands = scratch.written(sketches.select("node", "registers").mapInArrow(banded, "band long, node long"), "bands")
+        crowded = bands.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1").select("band")
+        members = scratch.written(bands.join(crowded, "band"), "members")
+        nodes = scratch.written(members.select("node").distinct(), "nodes")
+        roots = None
+        if nodes.limit(1).count():
+            sets = _sets(texts.filter("id is not null"), classes, nodes, scratch)
+            few = nodes.limit(FEW_IDS + 1).count() <= FEW_IDS
+            asked = sketches.join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
+            roots = _links(members, scratch.written(asked, "asked"), sets, scratch)
+        placed = _labelled(classes.select("key_a", "key_b", "least", "node"), roots)
+        smallest = placed.groupBy("root").agg(F.min("least").alias("component"))
+        final = placed.join(smallest, "root").select("key_a", "key_b", "root", "component")
+        joined = every.join(final, ["key_a", "key_b"], "left")
+        component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.when(F.col("id").isNotNull(), F.col("component")))
+        return written(joined.select("id", "row", "n", "root", component.alias("component")), "near-dedup")
+
+
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_shingles, component_id, kept) of every row of ``docs``."""
+    kept = F.coalesce(F.col("id") == F.col("component"), F.lit(True))
+    return _grouped(docs, key, text).select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), kept.alias("kept"))
+
+
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group: of those with the smallest id, the one with the smallest hash. Rows that repeat id
+    and text are one document, also without a word; rows with a null id all stay."""
+    found = _grouped(docs, key, text).filter("id is not null")
+    spark = docs.sparkSession
+    with Scratch(spark, "dropped") as scratch:
+        lost = found.filter("id <> component").select("id", "row")
+        kept = found.filter("id = component")
+        several = kept.filter("n > 0").groupBy("root").agg(F.min("row").alias("stays"), F.max("row").alias("last")).filter("stays < last")
+        lost = lost.unionByName(kept.filter("n > 0").join(several, "root").filter("row <> stays").select("id", "row"))
+        repeated = scratch.written(kept.groupBy("id", "row").agg(F.count("*").alias("k")).filter("k > 1").select("id", "row"), "repeated")
+        dropped = written(lost.distinct().select(F.col("id").alias("_id"), F.col("row").alias("_row")), "dropped")
+        same = lambda table: (docs[key] == table["_id"]) & (F.xxhash64(docs[key], docs[text]) == table["_row"])
+        few = dropped.limit(FEW_IDS + 1).count() <= FEW_IDS
+        stay = docs.join(F.broadcast(dropped) if few else dropped, same(dropped), "left_anti")
+        if not repeated.limit(1).count():
+            return stay
+        again = written(repeated.select(F.col("id").alias("_id"), F.col("row").alias("_row")), "repeated")
+    once = stay.join(again, same(again), "left_semi").dropDuplicates([key, text])
+    return stay.join(again, same(again), "left_anti").unionByName(once)

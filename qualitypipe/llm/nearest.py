@@ -9,7 +9,7 @@ reranked by their exact distance in double precision.
 
 Work is spread by candidates: the coded table is scanned once for every ``QUERY_BYTES`` of queries, which all tasks get; so what is sent
 never grows, only the number of scans does. Each task keeps its k nearest of each query (ids and distances only), and these
-are merged by one aggregation that starts in the tasks. Codes and vectors are a written table, so a lost executor costs its tasks.
+are merged by one ranking for each query. Codes and vectors are a written table, so a lost executor costs its tasks.
 
 Defined results: vectors that are null, zero, of another dimension or hold null or non-finite components take no part (see
 ``vectors``); an empty table gives no rows. Every row is a vector of its own: copies of a query's row are its neighbours at
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -164,10 +164,9 @@ def neighbours(rows: DataFrame, is_query: Column | str, k: int = 10, key: str =
         shared = spark.sparkContext.broadcast(queries)
         nearest = table.drop("asked").mapInArrow(lambda batches, shared=shared: search(batches, shared.value, k), "query_id long, query_row long, row long, score double, id long")
         # ids ascending, null ids last, as in the tasks
-        order = F.struct("score", F.col("id").isNull().alias("unknown"), "id", "row")
-        merged = nearest.groupBy("query_id", "query_row").agg(F.slice(F.sort_array(F.collect_list(order)), 1, k).alias("best"))
-        ranked = merged.select("query_id", F.posexplode("best").alias("position", "b"))
-        part = written(ranked.select("query_id", (F.col("position") + 1).alias("rank"), "b.id", "b.score"), "neighbours")
+        order = Window.partitionBy("query_row").orderBy("score", F.col("id").isNull(), "id", "row")
+        ranked = nearest.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        part = written(ranked.select("query_id", "rank", "id", "score"), "neighbours")
         shared.destroy()
         found = part if found is None else found.unionByName(part)
     found = spark.createDataFrame([], result) if found is None else found

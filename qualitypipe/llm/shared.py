@@ -46,6 +46,26 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables that one call of an operator needs until it has written its result; then they go."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/qualitypipe-llm/{name}-{uuid4().hex}"
+
+    def written(self, frame: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}-{uuid4().hex[:8]}"
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def fold(key: Column | str, modulus: int) -> Column:
     """crc32 of the key as text, modulo; a null key counts as an empty text."""
     column = F.col(key) if isinstance(key, str) else key

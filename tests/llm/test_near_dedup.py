@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import itertools
 import random
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from qualitypipe.llm import near_dedup
+from qualitypipe.llm.shared import Scratch
 from tests.llm.common import SF, clashing, documents, needs_tables, prose, shingles
 
 
@@ -107,4 +109,54 @@ def test_given_documents(spark):
 
 def test_components_of_long_chains(spark):
     links = spark.range(40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
-    assert {r.root for r in near_dedup.components(links).collect()} == {0}
+    with Scratch(spark, "test") as scratch:
+        assert {r.root for r in near_dedup.components(links, scratch).collect()} == {0}
+
+
+def test_ids_of_text_and_of_rows_that_share_one(spark):
+    base, other = " ".join(prose(1, 40)), " ".join(prose(2, 40))
+    rows = [("b", base), ("a", base + " end"), ("c", other), ("a", other), ("a", "one two"), ("a", base + " end")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.groups(docs).collect())
+    assert found == [("a", 1, "a", True), ("a", 36, "a", True), ("a", 37, "a", True), ("a", 37, "a", True), ("b", 36, "a", False), ("c", 36, "a", False)]
+    kept = sorted(tuple(r) for r in near_dedup.deduplicated(docs).collect())
+    assert kept == sorted([("a", base + " end"), ("a", other), ("a", "one two")])
+
+
+def test_near_copies_under_one_id_are_one_group(spark):
+    base = " ".join(prose(1, 60))
+    docs = documents(spark, [(1, base), (1, base + " end"), (2, base + " more"), (3, None), (3, None), (None, base)])
+    kept = near_dedup.deduplicated(docs).collect()
+    assert sorted((r.doc_id or 0) for r in kept) == [0, 1, 3]
+
+
+def _pairs_estimated(spark, monkeypatch, n):
+    """Rows that are estimated for one group of near copies, a quarter of whose pairs are links."""
+    r = random.Random(n)
+    base = prose(5, 150)
+    other = lambda w, rate: w if r.random() > rate else f"{w}{r.randrange(10**6)}"
+    rates = [0.002, 0.01, 0.02, 0.03, 0.05]
+    docs = documents(spark, [(i, " ".join(other(w, rates[i % 5]) for w in base)) for i in range(n)])
+    asked, estimated = [], near_dedup._estimated
+
+    def counting(pairs, sketches):
+        asked.append(pairs.count())
+        return estimated(pairs, sketches)
+
+    monkeypatch.setattr(near_dedup, "_estimated", counting)
+    near_dedup.groups(docs).count()
+    monkeypatch.setattr(near_dedup, "_estimated", estimated)
+    return sum(asked)
+
+
+def test_pairs_of_a_group_grow_with_its_size(spark, monkeypatch):
+    """Four times the members, well below sixteen times the pairs, and a few for each member."""
+    few, many = (_pairs_estimated(spark, monkeypatch, n) for n in (300, 1200))
+    assert many < 8 * few and many < 20 * 1200
+
+
+def test_tables_in_between_go(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / "qualitypipe-llm"
+    before = {p.name for p in folder.iterdir()} if folder.exists() else set()
+    near_dedup.groups(documents(spark, {1: "a b c d e f", 2: "a b c d e f g"})).count()
+    assert [p.name.rsplit("-", 1)[0] for p in folder.iterdir() if p.name not in before] == ["near-dedup"]
