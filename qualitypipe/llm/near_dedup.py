@@ -15,9 +15,9 @@ Pairs within a band's bucket are never listed as such.
 2. Then only pairs across components count. A shingle crosses if documents of several components hold it; a document can be
    similar to one of another component only if it has as many crossing shingles as that takes. Documents without enough of
    them leave, and others may then have too few, until none does. This bound is exact and needs no pairs.
-3. Of what is left, pairs across components that share a bucket are estimated and verified: all in small buckets; for the documents of
-   large ones, those that an exact prefix-filter join on shingles, rarest first, finds. Prefixes are as long as the sizes of a
-   pair demand: a document that is not similar to a group's hub has only shingles there that the hub lacks.
+3. Of what is left, pairs across components that share a bucket are estimated and verified: all in small buckets; in
+   large ones, those that an exact prefix-filter join on shingles finds. Shingles that the bucket's hub lacks come first, and prefixes
+   are as long as the sizes of a pair demand: a document that is not similar to the hub has nothing else in its prefix.
 
 So no bucket is cut, none goes to one task, and the work of a group of copies grows with its size.
 
@@ -234,28 +234,39 @@ def _partner(n: str, least: str) -> Column:
     return F.greatest(F.col(least), F.expr(f"({n} * {NEED} + {OF - 1}) div {OF}"))
 
 
-def prefixes(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(token, node, root, n, place): of each set the rarest shingles, as many as it must share one of with a set of ``m`` or more."""
-    tokens = sets.join(nodes.select("node"), "node", "left_semi").select("node", F.explode("found").alias("token"))
-    often = tokens.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1")
-    counted = tokens.join(often, "token", "left").select("node", F.struct(F.coalesce("k", F.lit(1)).alias("k"), "token").alias("t"))
-    ordered = counted.groupBy("node").agg(F.sort_array(F.collect_list("t")).alias("all")).join(nodes, "node")
-    first = F.slice("all", F.lit(1), (F.col("n") - _needed("n", "m") + 1).cast("int"))
-    rows = ordered.select("node", "root", "n", F.posexplode(first).alias("place", "t"))
-    return rows.filter("t.k > 1").select("t.token", "node", "root", "n", "place")
-
-
-def _by_shingles(sets: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """All pairs across components that share a shingle of their prefixes; of the given nodes (node, root, n, and m, the
-    size of the smallest set that may be similar). The sizes of a pair say how long its prefixes are."""
-    kept = scratch.written(prefixes(sets, nodes), "prefixes")
-    mixed = kept.groupBy("token").agg((F.min("root") < F.max("root")).alias("mixed")).filter("mixed").select("token")
-    kept = kept.join(mixed, "token", "left_semi")
-    left, right = (kept.select("token", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "root", "n", "place"))) for side in "xy")
+def prefixes(sets: DataFrame, placed: DataFrame) -> DataFrame:
+    """(hub, token, node, root, n, place): of each set as many shingles as it must share one of with a set of ``m`` or more,
+    in an order that is the same for all sets with one hub: those that the hub lacks, then those that it has."""
+    hubs = sets.select(F.col("node").alias("hub"), F.col("found").alias("held"))
+    both = placed.join(sets, "node").join(hubs, "hub")
+    ordered = F.concat(F.array_sort(F.array_except("found", "held")), F.array_sort(F.array_intersect("found", "held")))
+    first = F.slice(ordered, F.lit(1), (F.col("n") - _needed("n", "m") + 1).cast("int"))
+    return both.select("hub", "node", "root", "n", F.posexplode(first).alias("place", "token"))
+
+
+def _by_shingles(sets: DataFrame, placed: DataFrame, scratch: Scratch) -> DataFrame:
+    """All pairs across components that have a hub in common and share a shingle of their prefixes for it; of the given nodes
+    (node, hub, root, n, and m, the size of the smallest set that may be similar). The sizes of a pair say how long its prefixes are."""
+    kept = scratch.written(prefixes(sets, placed), "prefixes")
+    mixed = kept.groupBy("hub", "token").agg((F.min("root") < F.max("root")).alias("mixed")).filter("mixed").select("hub", "token")
+    kept = scratch.written(kept.join(mixed, ["hub", "token"], "left_semi"), "prefixes")
+    left, right = (kept.select(*(F.col(c).alias(f"{side}_{c}") for c in kept.columns)) for side in "xy")
     needed = _needed("x_n", "y_n")
     sizes = F.least("x_n", "y_n") * OF >= F.greatest("x_n", "y_n") * NEED
     within = sizes & (F.col("x_place") <= F.col("x_n") - needed) & (F.col("y_place") <= F.col("y_n") - needed)
-    return left.join(right.withColumnRenamed("token", "_token"), (F.col("token") == F.col("_token")) & (F.col("x_root") < F.col("y_root")) & within).select(*_pair("x_node", "y_node")).distinct()
+    same = (F.col("x_hub") == F.col("y_hub")) & (F.col("x_token") == F.col("y_token"))
+    return left.join(right, same & (F.col("x_root") < F.col("y_root")) & within).select(*_pair("x_node", "y_node")).distinct()
+
+
+def _hubbed(members: DataFrame) -> DataFrame:
+    """(node, hub, root, n, m): the members of buckets with the hubs of these, and the smallest partner there may be. A bucket's
+    hub is the most popular node of the component that its own most popular member is in, so a group has few hubs."""
+    popular = members.join(members.groupBy("node").agg(F.sum("size").alias("popular")), "node")
+    first = F.struct("popular", "node")
+    of_root = popular.groupBy("root").agg(F.max_by("node", first).alias("hub")).withColumnRenamed("root", "lead")
+    of_band = popular.groupBy("band").agg(F.max_by("root", first).alias("lead"), F.min("n").alias("least")).join(of_root, "lead")
+    partner = F.min(_partner("n", "least")).alias("m")
+    return members.join(of_band, "band").groupBy("node", "hub").agg(F.first("root").alias("root"), F.first("n").alias("n"), partner)
 
 
 def _links(members: DataFrame, sketches: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame | None:
@@ -289,8 +300,7 @@ def _links(members: DataFrame, sketches: DataFrame, sets: DataFrame, scratch: Sc
     x = sized.filter(few).select("band", F.col("node").alias("x"), F.col("root").alias("rx"))
     y = sized.filter(few).select("band", F.col("node").alias("y"), F.col("root").alias("ry"))
     rest = x.join(y, "band").filter("rx < ry").select(*_pair("x", "y")).distinct()
-    dense = sized.join(sized.groupBy("band").agg(F.min("n").alias("least")), "band").filter(~few)
-    dense = scratch.written(dense.groupBy("node").agg(F.first("root").alias("root"), F.first("n").alias("n"), F.min(_partner("n", "least")).alias("m")), "dense")
+    dense = scratch.written(_hubbed(sized.filter(~few)), "dense")
     if dense.limit(1).count():
         rest = rest.unionByName(_by_shingles(sets, dense, scratch)).distinct()
     near = scratch.written(_estimated(rest, sketches).select("a", "b"), "rest")
