@@ -206,22 +206,22 @@ def _pair(x: str, y: str) -> list[Column]:
 
 
 def _crossing(sets: DataFrame, placed: DataFrame, scratch: Scratch) -> DataFrame:
-    """(band, node, root, n) of ``placed`` whose documents may be similar to one of another component."""
+    """(band, node, root, n) of ``placed`` whose documents may be similar to one of another component. Documents leave in
+    rounds as one row each; their bands are looked up once, when it is known who stays."""
+    spread = placed.groupBy("band").agg(F.count_distinct("root").alias("roots"), F.min("n").alias("least")).filter("roots > 1")
+    shared_bands = placed.join(spread.drop("roots"), "band")
+    # what it takes with the smallest partner m that there may be
+    held = scratch.written(shared_bands.groupBy("node").agg(F.first("root").alias("root"), F.first("n").alias("n"), F.min(_partner("n", "least")).alias("m")), "held")
+    number = held.count()
     for _ in range(LEAVING):
-        spread = placed.groupBy("band").agg(F.count_distinct("root").alias("roots"), F.min("n").alias("least")).filter("roots > 1")
-        placed = placed.join(spread.drop("roots"), "band")
-        # what it takes with the smallest partner m that there may be
-        held = scratch.written(placed.groupBy("node").agg(F.first("root").alias("root"), F.first("n").alias("n"), F.min(_partner("n", "least")).alias("m")), "held")
         tokens = sets.join(held, "node").select("node", "root", F.explode("found").alias("token"))
         crossing = tokens.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token")
         shared = tokens.join(crossing, "token").groupBy("node").agg(F.count("*").alias("shared"))
-        enough = F.col("shared") >= _needed("n", "m")
-        stay = scratch.written(held.join(shared, "node").filter(enough).select("node"), "stay")
-        before, after = held.count(), stay.count()
-        placed = scratch.written(placed.select("band", "node", "root", "n").join(stay, "node", "left_semi"), "placed")
-        if after == before or not after:
+        held = scratch.written(held.join(shared, "node").filter(F.col("shared") >= _needed("n", "m")).select("node", "root", "n", "m"), "held")
+        before, number = number, held.count()
+        if number in (before, 0):
             break
-    return placed
+    return scratch.written(placed.join(held.select("node"), "node", "left_semi"), "placed")
 
 
 def _needed(n: str, m: str) -> Column:
