@@ -5,10 +5,14 @@ characters against the tags met in it; lines of menus, page headers and footers,
 comments, known by element, role or class, have ratio 0. Ratios are smoothed within each region (the innermost container,
 or the article), so that they don't leak into neighbours, and split into two clusters by two-means on their
 logarithms. A region is content if most of its characters lie in lines of the upper cluster, or if it has most of these; the text is
-every line of such regions that isn't boilerplate.
+every line from the first such region to the last that isn't boilerplate, so a table or a short block between them stays.
 
-Defined results: null or empty html, or a page without text, gives an empty text of 0 characters. Pages
-are read whole; repeated rows each get their row; only the columns named are read, so other columns may have any name.
+A class or id name marks boilerplate if all its parts are known (``cookie-notice``, ``site-footer``, not ``ad-hoc`` or ``related-work``);
+on paragraphs, headings, items and cells of an article, only if one part is a mark of the stronger kind. ``p``, ``li``, ``dt``, ``dd``, ``tr``, ``td``
+and ``th`` that are left open end where HTML ends them. Other elements left open last until an element around them ends.
+
+Defined results: null or empty html, or a page without text, gives an empty text of 0 characters; an empty table an
+empty one. Of regions with equally much text, all are content. Pages are read whole; repeated rows each get their row; only the columns named are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -38,7 +42,25 @@ MARKS = frozenset(
 )
 WEAK_MARKS = frozenset("alert alerts banner copyright disclaimer header legal masthead modal notice notices popup search".split())
 CONTENT = frozenset("article body content entry main page post story text wrapper".split())
+#: Parts that say nothing about what an element holds.
+NEUTRAL = frozenset(
+    "area bar block blocks bottom box btn button buttons center col column container desktop fixed footer form global group icon icons "
+    "inline inner item items js label left link links list main mobile module outer overlay panel policy pop primary right row secondary section "
+    "site slot small sticky tags thread title top tower unit up wrap".split()
+)
 _NOT = frozenset("has no with without".split())
+_STRONG_ONLY = MARKS | WEAK_MARKS | CONTENT | NEUTRAL
+_WEAK_ONLY = MARKS | WEAK_MARKS | NEUTRAL
+#: Elements that hold text rather than parts of a page.
+TEXTS = frozenset("blockquote dd dt h1 h2 h3 h4 h5 h6 li p pre td th".split())
+_SCOPE = CONTAINERS - {"td"} | {"button", "th"}
+_ROW = frozenset({"td", "th", "tr"})
+#: Elements that a start tag ends, and where the search for them stops.
+ENDED = {tag: (frozenset({"p"}), _SCOPE | {"td"}) for tag in BLOCKS - {"li", "dt", "dd", "tr", "td", "th", "tbody", "thead", "tfoot", "caption", "html", "body", "center"}}
+ENDED |= {"li": (frozenset({"li"}), frozenset({"ul", "ol", "menu"})), "tr": (_ROW, frozenset({"table"}))}
+ENDED |= dict.fromkeys(("dt", "dd"), (frozenset({"dt", "dd"}), frozenset({"dl"})))
+ENDED |= dict.fromkeys(("td", "th"), (frozenset({"td", "th"}), frozenset({"table", "tr"})))
+ENDED |= dict.fromkeys(("tbody", "thead", "tfoot"), (_ROW | {"caption", "tbody", "thead", "tfoot"}, frozenset({"table"})))
 
 _PARTS = re.compile(r"[A-Za-z]+")
 _SIGMA = 2.0
@@ -46,8 +68,8 @@ _REACH = int(3 * _SIGMA)
 _KERNEL = np.exp(-0.5 * (np.arange(-_REACH, _REACH + 1) / _SIGMA) ** 2)
 
 
-def _marked(attributes: list[tuple[str, str | None]]) -> bool:
-    """Whether attributes say that an element is boilerplate or not shown."""
+def _marked(attributes: list[tuple[str, str | None]], of_article: bool = False) -> bool:
+    """Whether attributes say that an element is boilerplate or not shown; ``of_article`` for text of an article."""
     for name, value in attributes:
         value = value or ""
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
@@ -58,10 +80,12 @@ def _marked(attributes: list[tuple[str, str | None]]) -> bool:
             return True
         if name in ("class", "id"):
             for one in value.split():
-                parts = [p.lower() for p in _PARTS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", one))]
-                if not parts or parts[0] in _NOT:
+                parts = {p.lower() for p in _PARTS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", one))}
+                if not parts or not _NOT.isdisjoint(parts):
                     continue
-                if not MARKS.isdisjoint(parts) or (not WEAK_MARKS.isdisjoint(parts) and CONTENT.isdisjoint(parts)):
+                if not MARKS.isdisjoint(parts) and parts <= _STRONG_ONLY:
+                    return True
+                if not of_article and not WEAK_MARKS.isdisjoint(parts) and parts <= _WEAK_ONLY:
                     return True
     return False
 
@@ -93,9 +117,12 @@ class Lines(HTMLParser):
             self.flush()
         elif tag == "br":
             self.parts.append(" ")
+        if tag in ENDED:
+            self.end_open(*ENDED[tag])
         if tag in VOID:
             return
-        boiler = tag in BOILERPLATE or (bool(attrs) and tag not in ("html", "body", "article", "main") and _marked(attrs))
+        of_article = tag in TEXTS and any(s[0] in ("article", "main") for s in self.stack)
+        boiler = tag in BOILERPLATE or (bool(attrs) and tag not in ("html", "body", "article", "main") and _marked(attrs, of_article))
         unseen = tag in HIDDEN
         if tag not in CONTAINERS and not boiler and not unseen:
             return
@@ -106,6 +133,19 @@ class Lines(HTMLParser):
             self.region, self.regions = self.regions, self.regions + 1
         self.boiler, self.unseen = self.boiler or boiler, self.unseen or unseen
 
+    def end_open(self, names: frozenset[str], scope: frozenset[str]) -> None:
+        """Ends the outermost open element of these names up to the scope."""
+        found = None
+        for k in range(len(self.stack) - 1, -1, -1):
+            if self.stack[k][0] in scope:
+                break
+            if self.stack[k][0] in names:
+                found = k
+        if found is not None:
+            self.flush()
+            _, self.region, self.boiler, self.unseen = self.stack[found]
+            del self.stack[found:]
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
@@ -177,7 +217,8 @@ def main_text(html: str | None) -> str:
     mass = np.bincount(region, weights=size * upper)
     whole = np.bincount(region, weights=size * ~boiler)
     content = (mass > 0) & ((mass >= 0.5 * whole) | (mass == mass.max()))
-    return "\n".join(text for (text, _, r, b) in found if content[r] and not b)
+    at = np.flatnonzero(content[region] & ~boiler)
+    return "\n".join(found[k][0] for k in range(at[0], at[-1] + 1) if not boiler[k]) if len(at) else ""
 
 
 def extract(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:

@@ -29,6 +29,34 @@ def test_main_text_of_a_page_with_everything():
     assert html_text.main_text(PAGE) == expected
 
 
+LONG = "A paragraph of some length that says a good deal about the matter, and then says it once more."
+
+
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        (f"<article><h1>T</h1><p class='share'>Share<p>{LONG}<p>{LONG}</article>", ["T", LONG, LONG]),
+        (f"<article><h1>T</h1><ul><li class='ad'>Buy<li>{LONG}</ul><p>{LONG}</article>", ["T", LONG, LONG]),
+        (f"<article><dl><dt class='promo'>Buy<dd>{LONG}</dl></article>", [LONG]),
+        (f"<article><table><tr class='ad'><td>Buy<tr><td>{LONG}<td>{LONG}</table></article>", [LONG, LONG]),
+        *((f"<article><h1>T</h1><p class='{c}'>{LONG}</p></article>", ["T", LONG]) for c in ("legal", "search", "related-work", "ad-hoc")),
+        (f"<div><p>{LONG}</p></div><div><table><tr><td>1<td>2</table></div><div><p>{LONG}</p></div>", [LONG, "1", "2", LONG]),
+        (f"<div class='site-footer'>{LONG}</div><div><p>{LONG}</p></div><div id='reader_comments_list'><p>x</p></div>", [LONG]),
+    ],
+)
+def test_main_text_of_odd_markup(page, expected):
+    assert html_text.main_text(page) == "\n".join(expected)
+
+
+def test_ratios_and_clusters_choose(monkeypatch):
+    """Nothing in these names tells menus from text; without ratios the menus would come out."""
+    menu = "<div>" + "".join(f"<a href='/{i}'>Item {i}</a> " for i in range(30)) + "</div>"
+    page = f"{menu}<div><p>{LONG}</p><p>{LONG}</p></div>{menu}"
+    assert html_text.main_text(page) == f"{LONG}\n{LONG}"
+    monkeypatch.setattr(html_text, "upper_cluster", lambda values: values >= 0)
+    assert "Item 7" in html_text.main_text(page)
+
+
 def test_html_edges(spark):
     pages = {1: None, 2: "", 3: "<p>", 4: "just text &lt;b&gt;", 5: "<p>a<p>b", 6: "<![x[ <p>one</p>", 7: "<article>" + "<p>long words here</p>" * 20_000, 8: "<div" * 500}
     frame = clashing(spark.createDataFrame([(i, "u", h) for i, h in [*pages.items(), (5, "<p>a<p>b")]], "page_id long, url string, html string"))
@@ -212,8 +240,23 @@ def test_mixing_reaches_the_weights(spark):
     keys = [r.shuffle_key for r in mixed.collect()]
     assert keys == sorted(keys)
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mix(docs, dict.fromkeys(("big", "small", None), 0.0)).count() == 0
-    with pytest.raises(ValueError):
-        mixing.mix(docs.withColumn("copy_no", F.lit(1)))
+    again = mixing.mix(docs.filter("doc_id < 9").withColumn("Copy_No", F.lit(7)))
+    assert again.columns == [*docs.columns, "Copy_No", "copy_no_", "shuffle_key"] and {r.Copy_No for r in again.collect()} == {7}
+
+
+def test_mixing_draws_for_every_row(spark, monkeypatch):
+    """Rows without an id, rows that share one, and rows that repeat come as often as others."""
+    texts = [(None, f"text {i}") for i in range(3000)] + [(5, f"text {i}") for i in range(3000)]
+    for docs in (documents(spark, texts), documents(spark, [(None, "")] * 3000 + [(None, None)] * 3000 + [(1, "one")])):
+        docs = docs.withColumn("source", F.lit("s"))
+        mixed = mixing.mix(docs).collect()
+        assert len(mixed) == pytest.approx(docs.count(), rel=0.1)
+        parts = Counter((r.doc_id, r.text is None) for r in mixed)
+        assert all(n == pytest.approx(3000, rel=0.1) for key, n in parts.items() if key[0] != 1)
+        assert max(Counter((r.doc_id, r.text, r.copy_no) for r in mixed).values()) == 1
+        monkeypatch.setattr(mixing, "FEW_REPEATED", 0)
+        assert sorted(map(str, mixing.mix(docs).collect())) == sorted(map(str, mixed))
+        monkeypatch.undo()
 
 
 @needs_tables
