@@ -112,7 +112,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic", fold("doc_id", 4) != 2, per_class=1800))
     scored = toxicity.score(docs, model, ["doc_id"])
     predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
-    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", predicted, "n_spans")
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", predicted, "n_spans", F.to_json("spans").alias("spans"))
 
 
 @query
@@ -139,7 +139,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels")
-    model = quality_classifier.fit(labelled_sample(docs, labels, "quality", fold("doc_id", 3) != 1, per_class=1000))
+    model = quality_classifier.fit(labelled_sample(docs, labels, "quality", fold("doc_id", 3) != 1, per_class=1000, most_bytes=16 << 20))
     scored = quality_classifier.score(docs, model, ["doc_id"])
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
     return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", predicted, "n_passages", "top_attention")

@@ -101,6 +101,23 @@ def _forward(w: dict[str, np.ndarray], x: np.ndarray, doc: np.ndarray, n: int) -
     return {"h": h, "tanh": tanh, "gate": gate, "attention": attention, "bag": bag, "p": sigmoid(bag @ w["out"] + w["out0"])}
 
 
+def _gradients(w: dict[str, np.ndarray], x: np.ndarray, doc: np.ndarray, n: int, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+    """Slopes of the weighted log loss, with a small ridge on the encoder."""
+    f = _forward(w, x, doc, n)
+    error = ((f["p"] - y) * weight).astype(x.dtype)
+    d_bag = error[:, None] * w["out"]
+    d_h = f["attention"][:, None] * d_bag[doc]
+    d_attention = (f["h"] * d_bag[doc]).sum(1)
+    mean = np.bincount(doc, weights=f["attention"] * d_attention, minlength=n)[doc]
+    d_energy = (f["attention"] * (d_attention - mean)).astype(x.dtype)
+    d_gated = d_energy[:, None] * w["a"]
+    d_v = d_gated * f["gate"] * (1 - f["tanh"] ** 2)
+    d_u = d_gated * f["tanh"] * f["gate"] * (1 - f["gate"])
+    d_h = (d_h + d_v @ w["v"].T + d_u @ w["u"].T) * (f["h"] > 0)
+    gradients = {"encode": x.T @ d_h + 1e-4 * w["encode"], "encode0": d_h.sum(0), "v": f["h"].T @ d_v, "u": f["h"].T @ d_u}
+    return gradients | {"a": (f["tanh"] * f["gate"]).T @ d_energy, "out": f["bag"].T.astype(x.dtype) @ error, "out0": error.sum(keepdims=True)}
+
+
 def fit(rows: list[tuple[str, int]], steps: int = 120) -> QualityModel:
     """rows: (text, label). Classes weigh as often as they occur in the rows given."""
     y = np.array([float(label == 1) for _, label in rows])
@@ -124,20 +141,7 @@ def fit(rows: list[tuple[str, int]], steps: int = 120) -> QualityModel:
     adam = Adam(w, 0.01)
     weight = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     for _ in range(steps):
-        f = _forward(w, x, doc, n)
-        error = ((f["p"] - y) * weight).astype(np.float32)
-        d_bag = error[:, None] * w["out"]
-        d_h = f["attention"][:, None] * d_bag[doc]
-        d_attention = (f["h"] * d_bag[doc]).sum(1)
-        mean = np.bincount(doc, weights=f["attention"] * d_attention, minlength=n)[doc]
-        d_energy = (f["attention"] * (d_attention - mean)).astype(np.float32)
-        d_gated = d_energy[:, None] * w["a"]
-        d_v = d_gated * f["gate"] * (1 - f["tanh"] ** 2)
-        d_u = d_gated * f["tanh"] * f["gate"] * (1 - f["gate"])
-        d_h = (d_h + d_v @ w["v"].T + d_u @ w["u"].T) * (f["h"] > 0)
-        gradients = {"encode": x.T @ d_h + 1e-4 * w["encode"], "encode0": d_h.sum(0), "v": f["h"].T @ d_v, "u": f["h"].T @ d_u}
-        gradients |= {"a": (f["tanh"] * f["gate"]).T @ d_energy, "out": f["bag"].T.astype(np.float32) @ error, "out0": error.sum(keepdims=True)}
-        adam.step({k: g.astype(np.float32) for k, g in gradients.items()})
+        adam.step({k: g.astype(np.float32) for k, g in _gradients(w, x, doc, n, y, weight).items()})
     # the classes were weighed alike; the constant brings back their shares
     w["out0"] = w["out0"] + np.float32(np.log(share / (1 - share)))
     return QualityModel(share, centre, scale, w)

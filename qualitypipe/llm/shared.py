@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 
 #: Text a task turns into arrays at a time; a longer document is a block of its own.
 BLOCK_BYTES = 1 << 20
+#: Documents in a block at most: matrices with a row per document stay small, however short the texts are.
+BLOCK_ROWS = 256
+#: Bytes of text in a sample of labelled documents, unless the caller says less.
+SAMPLE_BYTES = 64 << 20
 
 #: Every byte that separates words.
 _SPACES = np.zeros(256, dtype=bool)
@@ -96,17 +100,36 @@ def sample_by_class(rows: DataFrame, label: str, per_class: int, max_classes: in
     return drawn.orderBy("_draw", *rows.columns[:-1]).limit(2 * per_class * len(sizes))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, per_class: int) -> list[tuple]:
-    """(text, label) of a bounded number of labelled documents; the labels are cut first, then joined.
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, train: Column, per_class: int, most_bytes: int = SAMPLE_BYTES
+) -> list[tuple]:
+    """(text, label) of a bounded number of labelled documents, and of bytes of their texts.
 
-    A document with several labels counts by the largest one; null ids, labels and texts take no part.
+    The labels are cut first, then joined. An id may have many texts, so rows and bytes are cut again behind the join: whole documents in
+    the order of a hash, up to ``most_bytes`` of text. A document with several labels counts by the largest one, an id
+    with equal texts by one of them; null ids, labels and texts take no part.
     """
     rows = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter("doc_id is not null and label is not null")
     rows = rows.filter(train).groupBy("doc_id").agg(F.max("label").alias("label"))
     few = sample_by_class(rows, "label", per_class, max_classes=64).select("doc_id", "label")
-    # at most 2 * per_class * classes rows, by the limit of the sample
-    texts = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(few), "doc_id")
-    return [(r.text, r.label) for r in texts.orderBy(F.xxhash64("doc_id"), "doc_id", "text").collect()]
+    # at most 2 * per_class rows a class, by the limit of the sample
+    joined = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(few), "doc_id").distinct()
+    place = [F.xxhash64("doc_id").alias("_draw"), "doc_id", F.xxhash64("text").alias("_text_draw")]
+    with Scratch(docs.sparkSession, "labelled-sample") as scratch:
+        drawn = scratch.written(joined.select(*place, "label", "text"), "texts")
+        order = ["_draw", "doc_id", "_text_draw"]
+        most = 2 * per_class * drawn.select("label").distinct().count()
+        sizes = drawn.select(*order, F.octet_length("text").alias("_size")).orderBy(*order).limit(most).collect()
+        last, total = None, 0
+        for row in sizes:
+            total += row["_size"]
+            if total > most_bytes:
+                break
+            last = row
+        if last is None:
+            return []
+        upto = F.struct(*order) <= F.struct(*[F.lit(last[c]).alias(c) for c in order])
+        return [(r.text, r.label) for r in drawn.filter(upto).orderBy("_draw", "doc_id", "text").collect()]
 
 
 class Block:
@@ -176,8 +199,8 @@ def blocks_of(texts: list[str]) -> Iterator[Block]:
     yield from blocks([pa.RecordBatch.from_pydict({"text": pa.array([t.encode() for t in texts], pa.binary())})])
 
 
-def blocks(batches, column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[Block]:
-    """Cuts arrow batches into blocks of whole documents; a null text counts as empty."""
+def blocks(batches, column: str = "text", limit: int = BLOCK_BYTES, rows: int = BLOCK_ROWS) -> Iterator[Block]:
+    """Cuts arrow batches into blocks of whole documents, by bytes and rows; a null text counts as empty."""
     for batch in batches:
         texts = batch.column(column)
         if not pa.types.is_binary(texts.type) and not pa.types.is_large_binary(texts.type):
@@ -191,7 +214,7 @@ def blocks(batches, column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[
         data = np.frombuffer(texts.buffers()[2], dtype=np.uint8) if texts.buffers()[2] is not None else np.zeros(0, np.uint8)
         at = 0
         while at < len(texts):
-            to = max(at + 1, int(np.searchsorted(ends, ends[at] + limit, side="right")) - 1)
+            to = min(at + rows, max(at + 1, int(np.searchsorted(ends, ends[at] + limit, side="right")) - 1))
             offsets = ends[at : to + 1]
             yield Block(batch.slice(at, to - at), data[offsets[0] : offsets[-1]], offsets - offsets[0])
             at = to

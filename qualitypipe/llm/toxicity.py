@@ -279,10 +279,11 @@ def score_block(model: ToxicityModel, block: Block) -> tuple[np.ndarray, list[li
     p = marginals(model.weights[slots].sum(1, dtype=np.float64), lengths, model.steps, model.start)
     hits = np.flatnonzero(p > 0.5)
     doc = np.repeat(np.arange(block.size), lengths)
+    # code points before each byte of the block, counted once
+    before = np.concatenate([[0], np.cumsum((block.data & 0xC0) != 0x80)]) if len(hits) else np.zeros(1, np.int64)
     for k, hit in enumerate(hits):
         d = doc[hit]
-        text = block.data[block.start[d] :]
-        points = [int(((text[: at - block.start[d]] & 0xC0) != 0x80).sum()) for at in (begin[hit], stop[hit])]
+        points = [int(before[at] - before[block.start[d]]) for at in (begin[hit], stop[hit])]
         if k and hits[k - 1] == hit - 1 and doc[hit - 1] == d:
             spans[d][-1]["end_at"], spans[d][-1]["p"] = points[1], max(spans[d][-1]["p"], float(p[hit]))
         else:

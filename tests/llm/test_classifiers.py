@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -54,6 +56,58 @@ def test_language_edges(spark):
     assert {r.lang_pred for r in language_id.identify(rows, nothing, ["doc_id"]).collect()} == {"und"}
 
 
+def test_features_and_decoding_equal_plain_recomputation():
+    texts = ["Der Fluß, das Haus", "", "a", "the river 12 the river", "é" * 50]
+    found = np.concatenate([language_id.features(b) for b in blocks_of(texts)])
+    letters = language_id._LETTERS
+    for text, row in zip(texts, found, strict=True):
+        data, counts = [int(letters[b]) for b in text.encode()], {}
+        for n in language_id.ORDERS:
+            for i in range(len(data) - n + 1):
+                code = 0
+                for b in data[i : i + n]:
+                    code = (code * 257 + b) % 2**32
+                slot = ((code * 2654435761 + n * 40503) * 2246822519 % 2**32) >> 19
+                counts[slot] = counts.get(slot, 0) + 1
+        norm = max(sum(counts.values()) ** 0.5, 1e-9)
+        assert {int(i): pytest.approx(float(row[i]), rel=1e-5) for i in np.flatnonzero(row)} == {i: c**0.5 / norm for i, c in counts.items()}
+    model = language_id.fit([(t, lang) for t, lang in zip(texts * 3, "abcab" * 3, strict=True) if t])
+    best, score, lead = language_id.decode(model, found)
+    for i, row in enumerate(found):
+        margins = [float(row @ model.weights[:-1, k] + model.weights[-1, k]) for k in range(model.codes.shape[1])]
+        losses = [sum(t * np.log1p(np.exp(-m * c)) for t, m, c in zip(model.trust, margins, code, strict=True)) for code in model.codes]
+        order = sorted(losses)
+        assert best[i] == losses.index(order[0]) and lead[i] == pytest.approx(order[1] - order[0], abs=1e-4)
+        assert score[i] == pytest.approx(np.exp(-order[0]) / sum(np.exp(-np.array(losses))), abs=1e-4)
+
+
+def test_blocks_are_bounded_in_rows():
+    sizes = [b.size for b in blocks_of([""] * 1000 + ["x" * 3_000_000, ""])]
+    assert sum(sizes) == 1002 and max(sizes) <= 256
+
+
+def test_samples_of_repeated_ids_are_bounded_in_rows_and_bytes(spark):
+    ids = spark.range(2000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    docs = ids.unionByName(ids.withColumn("text", F.lit("same"))).unionByName(spark.createDataFrame([(2, "y" * 500)], "doc_id long, text string"))
+    marks = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    sample = lambda **more: labelled_sample(docs, marks, "toxic", F.lit(True), 5, **more)
+    assert len(sample()) == 20 and len(set(sample())) == 20
+    small = sample(most_bytes=60)
+    assert 0 < sum(len(t) for t, _ in small) <= 60 and sample(most_bytes=0) == []
+
+
+def test_spans_of_a_long_toxic_text_take_one_pass():
+    words = prose(4, 400)
+    rows = [(" ".join([words[i], *(["idiot"] if i % 2 else []), words[i + 1], words[-i - 1], words[-i - 2]]), i % 2) for i in range(200)]
+    model = toxicity.fit(rows)
+    text = f"ä idiot {words[7]} {words[9]} {words[11]}. " * 40_000
+    (block,) = blocks_of([text])
+    began = time.monotonic()
+    (spans,) = toxicity.score_block(model, block)[1]
+    assert time.monotonic() - began < 20
+    assert spans and all("idiot" in text[s["start_at"] : s["end_at"]] for s in spans[:50] + spans[-50:])
+
+
 def test_codewords_are_apart():
     for n in (2, 3, 4, 5, 9, 20):
         codes = language_id.codewords(n)
@@ -116,7 +170,28 @@ def test_quality_edges(spark):
 
 
 def test_attention_gradients_match_differences():
-    """The learned weights lower the loss along the analytic gradient: a fit on separable bags gets them right."""
+    random = np.random.default_rng(1)
+    shapes = {"encode": (7, 5), "encode0": (5,), "v": (5, 3), "u": (5, 3), "a": (3,), "out": (5,), "out0": (1,)}
+    w = {k: random.normal(size=s) for k, s in shapes.items()}
+    x, doc = random.normal(size=(11, 7)), np.array([0, 0, 0, 1, 2, 2, 2, 2, 3, 3, 3])
+    y, weight = np.array([1.0, 0, 0, 1]), np.array([0.1, 0.4, 0.2, 0.3])
+
+    def loss():
+        p = quality_classifier._forward(w, x, doc, 4)["p"]
+        return -(weight * np.log(np.where(y > 0, p, 1 - p))).sum() + 0.5e-4 * (w["encode"] ** 2).sum()
+
+    found = quality_classifier._gradients(w, x, doc, 4, y, weight)
+    for name, value in w.items():
+        for at in np.ndindex(value.shape):
+            kept, sides = value[at], []
+            for step in (1e-5, -1e-5):
+                value[at] = kept + step
+                sides.append(loss())
+            value[at] = kept
+            assert found[name][at] == pytest.approx((sides[0] - sides[1]) / 2e-5, abs=1e-7), name
+
+
+def test_separable_bags_are_told_apart():
     rows = [("clean text here " * 60 + ("| | ! ! " * 20 if i % 2 else ""), i % 2) for i in range(40)]
     model = quality_classifier.fit(rows)
     p = np.concatenate([quality_classifier.score_block(model, b)[0] for b in blocks_of([t for t, _ in rows])])
