@@ -2,7 +2,7 @@
 
 Stages take and return documents with all their columns (the last adds two); each works on all its predecessor kept.
 Null texts have no letters and go in the first stage. Ties, repeated rows, empty tables and further columns are as each
-operator defines; columns may have any name but ``copy_no`` and ``shuffle_key``.
+operator defines; columns may have any name (the last stage puts underscores behind the names it adds if they are taken).
 """
 
 from __future__ import annotations
