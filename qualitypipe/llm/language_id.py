@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qualitypipe.llm.shared import Adam, Block, blocks, blocks_of, sample_by_class
+from qualitypipe.llm.shared import Adam, Block, blocks, blocks_of, gives_back, sample_by_class
 
 DIMENSIONS = 1 << 13
 ORDERS = (1, 2, 3, 4)
@@ -116,6 +116,7 @@ def decode(model: LanguageModel, x: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return best, p[np.arange(len(x)), best], lead
 
 
+@gives_back
 def train(docs: DataFrame, keep: Column, per_language: int = 400) -> LanguageModel:
     """Fits on at most ``2 * per_language`` documents for each language, from rows where ``keep`` holds."""
     rows = docs.filter(keep).select("text", "lang").filter("text is not null and lang is not null")

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from qualitypipe.llm.shared import Adam, Block, blocks, blocks_of, lower_bytes, mix, sigmoid
+from qualitypipe.llm.shared import Adam, Block, blocks, blocks_of, gives_back, lower_bytes, mix, sigmoid
 
 PASSAGE_BYTES = 512
 HIDDEN, GATE = 24, 12
@@ -118,6 +118,7 @@ def _gradients(w: dict[str, np.ndarray], x: np.ndarray, doc: np.ndarray, n: int,
     return gradients | {"a": (f["tanh"] * f["gate"]).T @ d_energy, "out": f["bag"].T.astype(x.dtype) @ error, "out0": error.sum(keepdims=True)}
 
 
+@gives_back
 def fit(rows: list[tuple[str, int]], steps: int = 120) -> QualityModel:
     """rows: (text, label). Classes weigh as often as they occur in the rows given."""
     y = np.array([float(label == 1) for _, label in rows])

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import platform
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from uuid import uuid4
 
 import numpy as np
@@ -106,14 +109,14 @@ def labelled_sample(
     """(text, label) of a bounded number of labelled documents, and of bytes of their texts.
 
     The labels are cut first, then joined. An id may have many texts, so rows and bytes are cut again behind the join: whole documents in
-    the order of a hash, up to ``most_bytes`` of text. A document with several labels counts by the largest one, an id
+    the order of a hash, up to ``most_bytes`` of text, none of more than a sixteenth of that. A document with several labels counts by the largest one, an id
     with equal texts by one of them; null ids, labels and texts take no part.
     """
     rows = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter("doc_id is not null and label is not null")
     rows = rows.filter(train).groupBy("doc_id").agg(F.max("label").alias("label"))
     few = sample_by_class(rows, "label", per_class, max_classes=64).select("doc_id", "label")
     # at most 2 * per_class rows a class, by the limit of the sample
-    joined = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(few), "doc_id").distinct()
+    joined = docs.select("doc_id", "text").filter(F.octet_length("text") <= most_bytes // 16).join(F.broadcast(few), "doc_id").distinct()
     place = [F.xxhash64("doc_id").alias("_draw"), "doc_id", F.xxhash64("text").alias("_text_draw")]
     with Scratch(docs.sparkSession, "labelled-sample") as scratch:
         drawn = scratch.written(joined.select(*place, "label", "text"), "texts")
@@ -132,6 +135,19 @@ def labelled_sample(
         return [(r.text, r.label) for r in drawn.filter(upto).orderBy("_draw", "doc_id", "text").collect()]
 
 
+def gives_back(fit: Callable) -> Callable:
+    """A fit whose freed arrays go back to the system; the C library's allocator would keep them as the driver's memory."""
+
+    @functools.wraps(fit)
+    def fitted(*arguments, **named):
+        model = fit(*arguments, **named)
+        if platform.libc_ver()[0] == "glibc":
+            ctypes.CDLL(None).malloc_trim(0)
+        return model
+
+    return fitted
+
+
 class Block:
     """Some documents as one byte array.
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from qualitypipe.llm.shared import Adam, Block, blocks, blocks_of, lower_bytes, mix, sigmoid
+from qualitypipe.llm.shared import Adam, Block, blocks, blocks_of, gives_back, lower_bytes, mix, sigmoid
 
 SLOTS = 1 << 20
 FEATURES = 7
@@ -191,6 +191,7 @@ def _types(rows: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray, np.ndar
     return lengths, np.searchsorted(names, hashes).astype(np.int32), mix(pairs), slot
 
 
+@gives_back
 def fit(rows: list[tuple[str, int]], rounds: int = 20) -> ToxicityModel:
     """rows: (text, label of the document). Learns the field by gradient steps, then the document score."""
     y = np.array([float(label == 1) for _, label in rows])

@@ -92,8 +92,8 @@ def test_samples_of_repeated_ids_are_bounded_in_rows_and_bytes(spark):
     marks = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
     sample = lambda **more: labelled_sample(docs, marks, "toxic", F.lit(True), 5, **more)
     assert len(sample()) == 20 and len(set(sample())) == 20
-    small = sample(most_bytes=60)
-    assert 0 < sum(len(t) for t, _ in small) <= 60 and sample(most_bytes=0) == []
+    small = sample(most_bytes=160)
+    assert 0 < sum(len(t) for t, _ in small) <= 160 and sample(most_bytes=0) == []
 
 
 def test_spans_of_a_long_toxic_text_take_one_pass():
