@@ -97,6 +97,28 @@ def test_blocks_cover_the_fingerprint_and_find_all_within_the_radius(spark):
     frame = spark.createDataFrame(pairs, "a long, b long")
     blocks = [decontamination.block_values(F.col(c)) for c in ("a", "b")]
     assert frame.filter(F.exists(F.zip_with(*blocks, lambda x, y: x == y), lambda same: same)).count() == 200
+    # one row for each pair within the radius, none for another item's fingerprint or a bit more
+    numbered = [(k, k, a, b) for k, (a, b) in enumerate(pairs)]
+    windows = spark.createDataFrame([(k, i, a) for k, i, a, _ in numbered] + [(900, 1, pairs[0][0] ^ 0xFFFFF)], "window long, item long, print long")
+    items = spark.createDataFrame([(i, b) for _, i, _, b in numbered], "item long, print long")
+    assert sorted(r.window for r in decontamination.within_radius(windows, items).collect()) == list(range(200))
+
+
+def test_items_without_an_id_of_one_id_and_rows_of_one_id(spark):
+    one, two, three = (" ".join(prose(k, 20)) for k in (1, 2, 3))
+    items = spark.createDataFrame([(None, one), (4, two), (4, three), (5, three)], "item_id long, text string")
+    docs = documents(spark, [(1, "a " + one), (2, two + " b"), (3, "x y " + three), (9, "a " + one), (9, "b c d " + three), (9, None)])
+    rows = {(r.doc_id, r.item_id): (r.similarity, r.start_word, r.n_windows > 0) for r in decontamination.contained(docs, items).collect()}
+    assert rows == {(1, None): (1.0, 1, True), (2, 4): (1.0, 0, True), (3, 4): (1.0, 2, True), (3, 5): (1.0, 2, True),
+                    (9, None): (1.0, 1, True), (9, 4): (1.0, 3, True), (9, 5): (1.0, 3, True)}
+
+
+def test_long_text(spark):
+    item = prose(1, 40)
+    text = prose(2, 150_000) + item[:39] + ["changed"] + prose(3, 150_000) + item
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    (row,) = decontamination.contained(documents(spark, {1: " ".join(text)}), items).collect()
+    assert (row.similarity, row.start_word) == (1.0, 300_040)
 
 
 @needs_tables
