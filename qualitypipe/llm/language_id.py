@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qualitypipe.llm.shared import Adam, Block, blocks, blocks_of, gives_back, sample_by_class
+from qualitypipe.llm.shared import Adam, Block, blocks, blocks_of, gives_back, leaves_little, sample_by_class
 
 DIMENSIONS = 1 << 13
 ORDERS = (1, 2, 3, 4)
@@ -129,6 +129,7 @@ def identify(docs: DataFrame, model: LanguageModel, keep: list[str], text: str =
     source = docs.select(*keep, *own, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
     schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
 
+    @leaves_little
     def predict(batches):
         for block in blocks(batches, text):
             letters = np.array(block.rows.column("_letters"))

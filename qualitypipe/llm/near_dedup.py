@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qualitypipe.llm.shared import Block, Scratch, blocks, lower_bytes, mix, written
+from qualitypipe.llm.shared import Block, Scratch, blocks, leaves_little, lower_bytes, mix, written
 
 SHINGLE = 5
 NEED, OF = 75, 100  # shared * OF >= NEED * all
@@ -97,6 +97,7 @@ def set_key(found: np.ndarray) -> tuple[int, int]:
     return tuple(int(x) for x in np.array([mix(found).sum(dtype=np.uint64), mix(found ^ _SALTS[0]).sum(dtype=np.uint64)]).view(np.int64))
 
 
+@leaves_little
 def sketch(batches):
     """(id, row, n, key_a, key_b, registers) of each document."""
     for block in blocks(batches, "_text"):
@@ -108,6 +109,7 @@ def sketch(batches):
         yield pa.RecordBatch.from_arrays(columns, names=["id", "row", "n", "key_a", "key_b", "registers"])
 
 
+@leaves_little
 def banded(batches):
     """(band key, node) of each set: the registers of a band hashed together with its number."""
     number = mix(np.arange(BANDS, dtype=np.uint64) + np.uint64(1))
@@ -144,6 +146,7 @@ def similar(a: str, b: str) -> Column:
 def _sets(texts: DataFrame, classes: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, found) of the nodes asked for: the sets, built once more from the text of one row of each class."""
 
+    @leaves_little
     def sets(batches):
         for block in blocks(batches, "_text"):
             found = shingle_sets(block)

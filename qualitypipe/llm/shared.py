@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 BLOCK_BYTES = 1 << 20
 #: Documents in a block at most: matrices with a row per document stay small, however short the texts are.
 BLOCK_ROWS = 256
+#: Rows of an Arrow batch where whole documents go through Python; of blocks, a whole number.
+ARROW_ROWS = 4 * BLOCK_ROWS
 #: Bytes of text in a sample of labelled documents, unless the caller says less.
 SAMPLE_BYTES = 64 << 20
 
@@ -135,19 +137,46 @@ def labelled_sample(
         return [(r.text, r.label) for r in drawn.filter(upto).orderBy("_draw", "doc_id", "text").collect()]
 
 
+def narrow_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``ARROW_ROWS`` from now on, unless the session was given a number: the JVM and Python both hold a batch outside
+    the heap, and the JVM's allocator keeps the room of the largest."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
+def give_back() -> None:
+    """Freed arrays and Arrow buffers go back to the system; their allocators would keep them as the process's memory."""
+    pa.default_memory_pool().release_unused()
+    if platform.libc_ver()[0] == "glibc":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def gives_back(fit: Callable) -> Callable:
-    """A fit whose freed arrays go back to the system; the C library's allocator would keep them as the driver's memory."""
+    """A fit that leaves no freed arrays with the driver."""
 
     @functools.wraps(fit)
     def fitted(*arguments, **named):
         model = fit(*arguments, **named)
-        if platform.libc_ver()[0] == "glibc":
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
         return model
 
     return fitted
 
 
+def leaves_little(function: Callable) -> Callable:
+    """A map over batches that leaves no freed arrays with its worker, which waits for other tasks beside the executor."""
+
+    @functools.wraps(function)
+    def mapped(batches):
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return mapped
+
+
 class Block:
     """Some documents as one byte array.
 

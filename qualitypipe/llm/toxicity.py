@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from qualitypipe.llm.shared import Adam, Block, blocks, blocks_of, gives_back, lower_bytes, mix, sigmoid
+from qualitypipe.llm.shared import Adam, Block, blocks, blocks_of, gives_back, leaves_little, lower_bytes, mix, sigmoid
 
 SLOTS = 1 << 20
 FEATURES = 7
@@ -301,6 +301,7 @@ def score(docs: DataFrame, model: ToxicityModel, keep: list[str], text: str = "t
     schema = docs.select(*keep).schema.add("score", "double").add("spans", SPANS).add("n_spans", "integer")
     kind = pa.list_(pa.struct([("start_at", pa.int32()), ("end_at", pa.int32()), ("p", pa.float64())]))
 
+    @leaves_little
     def apply(batches):
         for block in blocks(batches, text, limit=1 << 20):
             p, spans = score_block(model, block)

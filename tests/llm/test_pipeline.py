@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import queries
-from qualitypipe.llm import catalogue, toxicity
-from qualitypipe.llm.shared import fold, labelled_sample, written
-from tests.llm.common import SF, SF_LARGER, clashing, needs_tables
+from qualitypipe.llm import catalogue, near_dedup, shared, toxicity
+from qualitypipe.llm.shared import ARROW_ROWS, fold, labelled_sample, written
+from tests.llm.common import SF, SF_LARGER, clashing, documents, needs_tables
 from tests.llm.test_decontamination import brute_force as held
 from tests.llm.test_near_dedup import brute_force as grouped
 
@@ -77,3 +78,41 @@ def test_every_query_reads_its_whole_table(spark):
         found = queries()[name](spark, str(SF_LARGER))
         assert found.count() == sizes["pages" if "url" in name else "documents"]
         assert found.select(F.col(found.columns[0])).distinct().count() == found.count()
+
+
+def batch_rows(frame):
+    """Rows of each Arrow batch that Python gets."""
+
+    def rows(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    return [r.n for r in frame.coalesce(1).mapInArrow(rows, "n long").collect()]
+
+
+def test_python_gets_documents_in_small_batches(spark):
+    texts = {i: f"some words of document {i}" for i in range(5000)}
+    for stage in (corpus_pipeline.identify_language, corpus_pipeline.remove_near_duplicates):
+        own = spark.newSession()
+        docs = documents(own, texts)
+        found = stage(own, docs, "")
+        sizes = batch_rows(docs)
+        assert max(sizes) <= ARROW_ROWS and sum(sizes) == len(texts)
+        assert found.count() == len(texts)
+    given = spark.newSession()
+    given.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1700")
+    docs = documents(given, texts)
+    corpus_pipeline.identify_language(given, docs, "")
+    assert max(batch_rows(docs)) == 1700
+
+
+def test_workers_give_memory_back_after_each_task(monkeypatch):
+    calls = []
+    monkeypatch.setattr(shared, "give_back", lambda: calls.append(1))
+    batch = pa.RecordBatch.from_pydict({"id": [1, 2], "row": [1, 2], "_text": ["a b c d e f", None]})
+    assert [b.num_rows for b in near_dedup.sketch([batch])] == [2] and len(calls) == 1
+    cut = near_dedup.sketch([batch, batch])
+    next(cut)
+    cut.close()
+    assert len(calls) == 2
+    assert list(near_dedup.banded([])) == [] and len(calls) == 3
