@@ -183,7 +183,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         jump = labels.select(F.col("node").alias("mid"), F.col("root").alias("far"))
         moved = lowered.join(jump, "mid", "left").select("node", "old", F.least("mid", F.coalesce("far", "mid")).alias("root"))
         moved = scratch.written(moved, "labels")
-        if not moved.filter("root <> old").limit(1).count():
+        if moved.filter("root <> old").isEmpty():
             return moved.select("node", "root")
         labels = moved.select("node", "root")
 
@@ -292,7 +292,7 @@ def _links(members: DataFrame, sketches: DataFrame, sets: DataFrame, scratch: Sc
         placed = _labelled(apart.join(hubs, "band"), roots)
         apart = _labelled(placed, roots, "hub", "hub_root").filter("root <> hub_root").select("band", "node", "popular", "n")
         apart = scratch.written(apart, "apart")
-        if not apart.limit(1).count():
+        if apart.isEmpty():
             break
     placed = scratch.written(_labelled(open_members.select("band", "node", "n"), roots), "placed")
     placed = _crossing(sets, placed, scratch)
@@ -304,10 +304,10 @@ def _links(members: DataFrame, sketches: DataFrame, sets: DataFrame, scratch: Sc
     y = sized.filter(few).select("band", F.col("node").alias("y"), F.col("root").alias("ry"))
     rest = x.join(y, "band").filter("rx < ry").select(*_pair("x", "y")).distinct()
     dense = scratch.written(_hubbed(sized.filter(~few)), "dense")
-    if dense.limit(1).count():
+    if not dense.isEmpty():
         rest = rest.unionByName(_by_shingles(sets, dense, scratch)).distinct()
     near = scratch.written(_estimated(rest, sketches).select("a", "b"), "rest")
-    if near.limit(1).count():
+    if not near.isEmpty():
         roots = components(links.unionByName(_verified(sets, near, scratch)), scratch)
     return roots
 
@@ -331,10 +331,10 @@ def _grouped(docs: DataFrame, key: str, text: str) -> DataFrame:
         members = scratch.written(bands.join(crowded, "band"), "members")
         nodes = scratch.written(members.select("node").distinct(), "nodes")
         roots = None
-        if nodes.limit(1).count():
+        number = nodes.count()
+        if number:
             sets = _sets(texts.filter("id is not null"), classes, nodes, scratch)
-            few = nodes.limit(FEW_IDS + 1).count() <= FEW_IDS
-            asked = sketches.join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
+            asked = sketches.join(F.broadcast(nodes) if number <= FEW_IDS else nodes, "node", "left_semi")
             roots = _links(members, scratch.written(asked, "asked"), sets, scratch)
         placed = _labelled(classes.select("key_a", "key_b", "least", "node"), roots)
         smallest = placed.groupBy("root").agg(F.min("least").alias("component"))
@@ -363,9 +363,9 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         repeated = scratch.written(kept.groupBy("id", "row").agg(F.count("*").alias("k")).filter("k > 1").select("id", "row"), "repeated")
         dropped = written(lost.distinct().select(F.col("id").alias("_id"), F.col("row").alias("_row")), "dropped")
         same = lambda table: (docs[key] == table["_id"]) & (F.xxhash64(docs[key], docs[text]) == table["_row"])
-        few = dropped.limit(FEW_IDS + 1).count() <= FEW_IDS
+        few = dropped.count() <= FEW_IDS
         stay = docs.join(F.broadcast(dropped) if few else dropped, same(dropped), "left_anti")
-        if not repeated.limit(1).count():
+        if repeated.isEmpty():
             return stay
         again = written(repeated.select(F.col("id").alias("_id"), F.col("row").alias("_row")), "repeated")
     once = stay.join(again, same(again), "left_semi").dropDuplicates([key, text])

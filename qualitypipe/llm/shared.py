@@ -153,7 +153,7 @@ def give_back() -> None:
 
 
 def gives_back(fit: Callable) -> Callable:
-    """A fit that leaves no freed arrays with the driver."""
+    """A fit, or a step of one, that leaves no freed arrays with the driver."""
 
     @functools.wraps(fit)
     def fitted(*arguments, **named):
@@ -239,9 +239,9 @@ def lower_bytes(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data | np.uint8(32), data)
 
 
-def blocks_of(texts: list[str]) -> Iterator[Block]:
+def blocks_of(texts: list[str], limit: int = BLOCK_BYTES) -> Iterator[Block]:
     """Blocks of texts on the driver, for fitting."""
-    yield from blocks([pa.RecordBatch.from_pydict({"text": pa.array([t.encode() for t in texts], pa.binary())})])
+    yield from blocks([pa.RecordBatch.from_pydict({"text": pa.array([t.encode() for t in texts], pa.binary())})], limit=limit)
 
 
 def blocks(batches, column: str = "text", limit: int = BLOCK_BYTES, rows: int = BLOCK_ROWS) -> Iterator[Block]:

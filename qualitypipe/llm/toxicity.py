@@ -21,11 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from qualitypipe.llm.shared import Adam, Block, blocks, blocks_of, gives_back, leaves_little, lower_bytes, mix, sigmoid
+from qualitypipe.llm.shared import BLOCK_ROWS, Adam, Block, blocks, blocks_of, give_back, gives_back, leaves_little, lower_bytes, mix, sigmoid
 
 SLOTS = 1 << 20
 FEATURES = 7
 _STEP = 32  # tokens in a row that are multiplied up before documents are joined
+#: While fitting: bytes of a block, and tokens whose hashes are looked up or mixed at a time.
+_FIT_BYTES, _PIECE = 1 << 18, 1 << 17
 _WORD = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 
 
@@ -155,6 +157,7 @@ def marginals(emission: np.ndarray, lengths: np.ndarray, steps: np.ndarray, star
     return (found, expected, opened) if pairs else found
 
 
+@gives_back
 def marked_types(slot: np.ndarray, which: np.ndarray, pairs: np.ndarray, toxic: np.ndarray, least_count: int, least_score: float = 3.7) -> np.ndarray:
     """Whether a token, by its type, has a feature that tells toxic documents; ``pairs`` is a hash of each token and the one before it.
 
@@ -173,22 +176,32 @@ def marked_types(slot: np.ndarray, which: np.ndarray, pairs: np.ndarray, toxic:
     return marked[slot].any(1)
 
 
+@gives_back
 def _types(rows: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Tokens per document, type of each token, a hash of each token with the one before it, and the slots of each type."""
     lengths, hashes, known, known_slots = [], [], [], []
-    for block in blocks_of([text for text, _ in rows]):
-        n, _, _, found, slots = token_slots(block)
-        names, first = np.unique(found, return_index=True)
-        lengths.append(n)
-        hashes.append(found)
-        known.append(names)
-        known_slots.append(slots[first])
+    # few texts are encoded at a time, and their types join those known
+    for at in range(0, len(rows), BLOCK_ROWS):
+        for block in blocks_of([text for text, _ in rows[at : at + BLOCK_ROWS]], _FIT_BYTES):
+            n, _, _, found, slots = token_slots(block)
+            names, first = np.unique(found, return_index=True)
+            lengths.append(n)
+            hashes.append(found)
+            known.append(names)
+            known_slots.append(slots[first])
+        names, first = np.unique(np.concatenate(known), return_index=True)
+        slot = np.concatenate(known_slots)[first]
+        known, known_slots = [names], [slot]
+    del block, found, slots, first
+    give_back()
     lengths, hashes = np.concatenate(lengths), np.concatenate(hashes)
-    names, first = np.unique(np.concatenate(known), return_index=True)
-    slot = np.concatenate(known_slots)[first]
+    which = np.empty(len(hashes), dtype=np.int32)
     pairs = hashes * np.uint64(3)
     pairs[1:] += hashes[:-1]
-    return lengths, np.searchsorted(names, hashes).astype(np.int32), mix(pairs), slot
+    for at in range(0, len(hashes), _PIECE):
+        which[at : at + _PIECE] = np.searchsorted(names, hashes[at : at + _PIECE])
+        pairs[at : at + _PIECE] = mix(pairs[at : at + _PIECE])
+    return lengths, which, pairs, slot
 
 
 @gives_back
@@ -198,24 +211,26 @@ def fit(rows: list[tuple[str, int]], rounds: int = 20) -> ToxicityModel:
     if len(set(y)) < 2:
         return ToxicityModel(float(y.mean()) if len(y) else 0.0)
     lengths, which, pairs, slot = _types(rows)
-    doc = np.repeat(np.arange(len(rows)), lengths)
-    toxic = y[doc] > 0
+    toxic = np.repeat(y > 0, lengths)
     marked = marked_types(slot, which, pairs, toxic, least_count=max(5, int(0.005 * y.sum())))
     labels = (toxic & marked[which]).astype(np.int8)
     del pairs, toxic
-    weight = np.where(y > 0, 1.0, y.sum() / max((1 - y).sum(), 1))[doc]
+    weight = np.where(y > 0, 1.0, y.sum() / max((1 - y).sum(), 1))
     inner = np.ones(len(which), dtype=bool)
     inner[(np.cumsum(lengths) - lengths)[lengths > 0]] = False
-    seen = np.zeros((2, 2))
-    at = np.flatnonzero(inner)
-    np.add.at(seen, (labels[at - 1], labels[at]), 1)
-    opened = np.bincount(labels[~inner], minlength=2).astype(float)
+    seen = np.array([[np.count_nonzero((labels[:-1] == a) & (labels[1:] == b) & inner[1:]) for b in (0, 1)] for a in (0, 1)], dtype=float)
+    opened = np.array([np.count_nonzero((labels == a) & ~inner) for a in (0, 1)], dtype=float)
+    del inner
     w = {"token": np.zeros(SLOTS), "steps": np.log((seen + 1) / (seen + 1).sum()), "start": np.log((opened + 1) / (opened + 1).sum())}
     adam = Adam(w, 0.3)
     runs = _runs_of_documents(lengths)
     for _ in range(rounds):
         p, expected, opening = _all_marginals(w["token"][slot].sum(1), which, lengths, runs, w)
-        slope = np.bincount(which, weights=(p - labels) * weight, minlength=len(slot))
+        p -= labels
+        for docs, tokens in runs:
+            p[tokens] *= np.repeat(weight[docs], lengths[docs])
+        slope = np.bincount(which, weights=p, minlength=len(slot))
+        del p
         token = sum(np.bincount(slot[:, k], weights=slope, minlength=SLOTS) for k in range(FEATURES))
         n = len(which)
         gradients = {"token": token / n + 1e-7 * w["token"], "steps": (expected - seen) / n, "start": (opening - opened) / n}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import tracemalloc
 from pathlib import Path
 
 import pyarrow as pa
@@ -116,3 +117,29 @@ def test_workers_give_memory_back_after_each_task(monkeypatch):
     cut.close()
     assert len(calls) == 2
     assert list(near_dedup.banded([])) == [] and len(calls) == 3
+
+
+def test_toxicity_is_learnt_in_little_memory():
+    words = lambda d: ["bad" if d % 2 and i == d % 200 else f"w{(i * 7 + d * 13) % 4000}" for i in range(200)]
+    rows = [(" ".join(words(d)), d % 2) for d in range(5000)]
+    tracemalloc.start()
+    try:
+        model = toxicity.fit(rows, rounds=2)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    tokens = 200 * len(rows)
+    # what Adam keeps of each slot, and arrays with a line for each token; texts, and what a step takes, in parts
+    assert most < 5 * 8 * toxicity.SLOTS + 72 * tokens
+    assert model.weights is not None and len(model.document) == 3
+
+
+def test_fit_takes_texts_in_parts(monkeypatch):
+    rows = [(f"word{d % 7} and some others {d}" if d % 5 else "", d % 2) for d in range(700)]
+    lengths, which, pairs, slot = toxicity._types(rows)
+    assert [int(n) for n in lengths] == [len(text.split()) for text, _ in rows]
+    monkeypatch.setattr(toxicity, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(toxicity, "_FIT_BYTES", 40)
+    monkeypatch.setattr(toxicity, "_PIECE", 5)
+    for a, b in zip((lengths, which, pairs, slot), toxicity._types(rows), strict=True):
+        assert (a == b).all()
